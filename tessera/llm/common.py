@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import scratch_dir, stored
+
+__all__ = ["scratch_dir", "stored", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles"]
+
 #: A word is a run of anything but ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -27,31 +30,6 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD_PATTERN)).cast("long")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share.
-
-    Only a local session without that setting gets a folder of its own choice.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "/tmp/checkpoints"
-    return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """The frame, written as Parquet to the shared folder and read back.
-
-    Cuts the lineage: a lost executor costs a read, not a recomputation, and what
-    follows sees one result even where a retried task would make another.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_chunks(column: pa.Array | pa.ChunkedArray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut an Arrow string column into (first row, end row, bytes, offsets).
 

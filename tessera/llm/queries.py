@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL by query name, where SQL can express the rows.
@@ -27,3 +28,33 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "good_probability"
     )
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.warc import new_folder, read_warc, write_warc
+
+    records = read_warc(write_warc(table(spark, sf_dir, "pages"), new_folder(spark)), keep_payload=False)
+    key = lambda c: F.col(c).cast("long")
+    return records.select(
+        F.nullif(F.col("record_key"), F.lit("")).cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        key("refers_to").alias("refers_to"),
+        "target_uri",
+    )
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
