@@ -58,3 +58,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100, keep_bytes=False).drop("kept")
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.near_dedup import NearSpec, near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), NearSpec(n=3, percent=85))
