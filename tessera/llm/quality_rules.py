@@ -9,11 +9,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CLASS, words
+from tessera.llm.common import WORD_PATTERN, words
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
-SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
+SYMBOLS = "[#*$%&|<>]"
 #: Rounds of expectation-maximisation; the estimates are stable long before.
 ROUNDS = 25
 #: The chance that a text is bad before any rule speaks: even, so that the votes decide.
@@ -60,16 +59,16 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     A null text counts as empty.  Lines are split at \\n and count if they hold a word.
     """
     body = F.coalesce(F.col("_text"), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD_PATTERN[:-1]))
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_upper", "n_marks"]
     df = docs.drop(*own).withColumn("_text", F.col(text)).withColumn("_words", words(F.col("_text")))
     df = df.withColumn("_lines", lines).withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.translate(body, SPACES, "")).cast("long"),
-            "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
-            "n_upper": (F.length(body) - F.length(F.translate(body, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long"),
-            "n_marks": (F.length(body) - F.length(F.translate(body, "!?", ""))).cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
+            "n_upper": F.regexp_count(body, F.lit("[A-Z]")).cast("long"),
+            "n_marks": F.regexp_count(body, F.lit("[!?]")).cast("long"),
             "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         }
