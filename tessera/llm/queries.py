@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.oracles import ORACLES
+
+__all__ = ["QUERIES", "ORACLES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: DuckDB SQL by query name, where SQL can express the rows.
-ORACLES: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,3 +74,18 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.near_dedup import NearSpec, near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), NearSpec(n=3, percent=85))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"))
