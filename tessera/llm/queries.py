@@ -89,3 +89,17 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.ann import search
 
     return search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality_classifier import classify
+
+    return classify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.chat_format import format_chat, turns_as_calls
+
+    return format_chat(turns_as_calls(table(spark, sf_dir, "conversations")))
