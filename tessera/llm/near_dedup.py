@@ -3,32 +3,35 @@
 Every document's set of word shingles is hashed once.  Its smallest values are retained:
 INDEX of them make inverted lists, SKETCH of them estimate the resemblance of two documents
 from the sketch of their union, and the whole sets confirm a link.  Equal sets are one node.
+Lists with the same smallest node are one group, so that a set of near copies, which share
+most values, is compared once and not once per value.  A task compares the nodes of a group
+and returns links that connect what is linked, in number less than the nodes: pairs are
+neither emitted nor shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD_PATTERN, shingles, stored, text_chunks, word_hashes
+from tessera.llm.common import shingles, stored, text_chunks, word_hashes
 from tessera.operators.graph import connected_components
 
 #: Retained values per document that make inverted lists, and that make its sketch.
 INDEX, SKETCH = 32, 128
 #: Chance per linked pair that a filter on retained values misses it.
 MISS = 1e-7
-#: A list of more nodes than this is first linked to its smallest node only; what then is
-#: still apart is compared in parts of about this many nodes.
-HOT_LIST = 1_024
+#: A task compares the nodes of one or two blocks of about this many; a group of more nodes
+#: is dealt out as pairs of blocks.
+BLOCK = 1_024
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,7 @@ class NearSpec:
     percent: int = 80
 
 
+@lru_cache
 def least_shared(k: int, share: float, miss: float = MISS) -> int:
     """The largest s so that fewer than s of k draws of chance share have a chance of at most miss."""
     total = 0.0
@@ -49,15 +53,6 @@ def least_shared(k: int, share: float, miss: float = MISS) -> int:
     return k
 
 
-def needed(sizes: np.ndarray, k: int, share: float) -> np.ndarray:
-    """How many of the k smallest values of a set of this size a linked set shares with it.
-
-    Exact where the union of the two fits into k values, else but for a chance of MISS.
-    """
-    exact = np.ceil(np.minimum(sizes, k) * share - 1e-9).astype(np.int64)
-    return np.where(sizes <= int(k * share), exact, np.minimum(exact, least_shared(k, share))).clip(1)
-
-
 SKETCH_SCHEMA = "doc_id long, n_shingles long, print binary, low array<long>, sketch binary"
 
 
@@ -93,7 +88,7 @@ def sketch_documents(docs: DataFrame, spec: NearSpec, text: str, key: str) -> Da
 
 
 def inverted_lists(nodes: DataFrame, share: float) -> DataFrame:
-    """(value, node, n, sketch, df, leader): the retained values under which a node is listed.
+    """(leader, node): the groups of each node, named by the smallest node of its lists.
 
     A linked pair shares at least needed() of its INDEX smallest values; so each node is
     listed under its rarest values only, one more than it can lack.  Common values (a line
@@ -111,138 +106,171 @@ def inverted_lists(nodes: DataFrame, share: float) -> DataFrame:
     )
     keep = F.col("m") - need + 1 - (F.col("m") - F.size("own"))
     kept = shared.select("node", F.explode(F.slice("own", 1, F.greatest(keep, F.lit(0)).cast("int"))).alias("o"))
-    return kept.select("node", "o.value", "o.df", "o.leader").join(nodes.select("node", "n", "sketch"), "node")
-
-
-def _estimate(a: np.ndarray, b: np.ndarray, share: float, na: int, nb: int) -> bool:
-    """Whether the union's sketch, made of both sketches, allows a resemblance of share."""
-    if min(na, nb) < share * max(na, nb):
-        return False
-    union = np.union1d(a, b)[:SKETCH]
-    both = np.intersect1d(a, b, assume_unique=False)
-    shared = int(np.searchsorted(both, union[-1], side="right")) if len(union) else 0
-    need = math.ceil(share * len(union) - 1e-9) if len(union) < SKETCH else least_shared(SKETCH, share)
-    return shared >= need
-
-
-def _close(one: int, others: np.ndarray, table: np.ndarray, used: np.ndarray, sizes: np.ndarray, share: float) -> np.ndarray:
-    """Of others those that the union sketches of one and each of them leave as candidates."""
-    fits = np.minimum(sizes[others], sizes[one]) >= share * np.maximum(sizes[others], sizes[one])
-    others = others[fits]
-    if not len(others):
-        return others
-    mine = table[one, : used[one]]
-    hits = np.isin(table[others], mine).sum(axis=1)  # the padding is no value of mine
-    floor = least_shared(SKETCH, share) if used[one] == SKETCH else math.ceil(share * used[one] - 1e-9)
-    others = others[hits >= min(floor, least_shared(SKETCH, share)) if used[one] == SKETCH else hits >= min(floor, used[one])]
-    keep = [_estimate(mine, table[x, : used[x]], share, sizes[one], sizes[x]) for x in others]
-    return others[np.asarray(keep, bool)] if len(others) else others
+    return kept.select("o.leader", "node").distinct()
 
 
-def _sketch_table(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    used = np.asarray([len(x) // 4 for x in sketches])
-    table = np.full((len(sketches), SKETCH), -1, np.int64)
-    for i, x in enumerate(sketches):
-        table[i, : used[i]] = np.frombuffer(x, np.uint32)
-    return table, used
-
-
-PAIR_SCHEMA = "src long, dst long"
+def _dealt(groups: DataFrame) -> DataFrame:
+    """groups with one and two: the blocks that a task compares (equal for a single block).
 
+    A node of a large group goes to every pair of blocks that has its own.
+    """
+    counts = groups.groupBy("leader").agg(F.count("*").alias("c")).where("c > 1")
+    rows = groups.join(counts, "leader").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("one"), F.greatest("block", x).alias("two")))
+    return rows.withColumn("_p", F.explode(pairs)).select(*groups.columns, "c", "block", "_p.one", "_p.two")
 
-def candidates(lists: DataFrame, share: float, first: bool) -> DataFrame:
-    """Pairs (src < dst) of nodes of a list that are in different components.
 
-    first: a list's nodes are each compared with the smallest of them, so a list gives as
-    many pairs as it has nodes at most.  Else all nodes of different components are
-    compared; a large list is dealt out in parts, and only nodes outside its largest
-    component are copied to every part.
-    """
+def shared_counts(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """(n, n) numbers of values that two rows share; values are distinct within a row.
 
-    if first:
-
-        def lead(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                out = []
-                for src, dst, a, b, na, nb in batch.itertuples(index=False):
-                    if _estimate(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), share, na, nb):
-                        out.append((src, dst))
-                yield pd.DataFrame(out, columns=["src", "dst"])
-
-        heads = lists.where("node = leader").select("value", F.col("sketch").alias("_s"), F.col("n").alias("_n")).distinct()
-        rest = lists.where("node <> leader").join(heads, "value")
-        pairs = rest.select(F.col("leader").alias("src"), F.col("node").alias("dst"), F.col("_s").alias("a"), F.col("sketch").alias("b"), F.col("_n").alias("na"), F.col("n").alias("nb"))
-        return pairs.dropDuplicates(["src", "dst"]).mapInPandas(lead, PAIR_SCHEMA)
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node").sort_values("node", ignore_index=True)
-        table, used = _sketch_table(group["sketch"].tolist())
-        node, comp, size = (group[c].to_numpy() for c in ("node", "component", "n"))
-        wide = group["wide"].to_numpy()
-        out = []
-        for i in np.flatnonzero(wide):
-            others = np.flatnonzero((comp != comp[i]) & (~wide | (np.arange(len(node)) > i)))
-            out += [(min(node[i], node[x]), max(node[i], node[x])) for x in _close(i, others, table, used, size, share)]
-        return pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
-
-    parts = lists.groupBy("value", "component").agg(F.count("*").alias("c"))
-    most = parts.groupBy("value").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("comps"), F.sum("c").alias("all"))
-    mixed = lists.join(most.where("comps > 1"), "value").withColumn("wide", F.col("component") != F.col("main"))
-    salts = F.ceil(F.col("all") / HOT_LIST).cast("int")
-    own = F.array(F.pmod(F.xxhash64("node"), salts).cast("int"))
-    mixed = mixed.withColumn("part", F.explode(F.when(F.col("wide"), F.sequence(F.lit(0), salts - 1)).otherwise(own)))
-    return mixed.select("value", "part", "node", "component", "n", "sketch", "wide").groupBy("value", "part").applyInPandas(compare, PAIR_SCHEMA).distinct()
-
-
-_WORD = re.compile(WORD_PATTERN)
-_FOLD = {c: c + 32 for c in range(0x41, 0x5B)}
-
-
-def shingle_set(text: str | None, n: int) -> set:
-    """The set that a document stands for: its distinct n-word windows."""
-    words = _WORD.findall((text or "").translate(_FOLD))
-    if len(words) < n:
-        return {tuple(words)} if words else set()
-    return set(zip(*(words[i:] for i in range(n)), strict=False))
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, spec: NearSpec) -> DataFrame:
-    """The pairs whose whole sets are as close as asked.  texts: (node, text).
-
-    Each side of a pair fetches its text; a task then reads its pairs in order and holds the
-    texts of one pair.  Where several texts have the id of a node, one close pair is enough.
+    Values of few rows are counted pair by pair, those of many by products of 0/1 columns.
     """
-    sides = pairs.select("src", "dst", F.explode(F.array("src", "dst")).alias("node"))
-    # the key of the last shuffle has both ends, so a node with very many pairs is spread
-    rows = sides.join(texts, "node").select("src", "dst", (F.col("node") == F.col("dst")).alias("second"), "text")
-    rows = rows.repartition("src", "dst").sortWithinPartitions("src", "dst", "second")
+    by = np.argsort(values, kind="stable")
+    values, row = values[by], row[by]
+    begin = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    df = np.diff(np.append(begin, len(values)))
+    out = np.zeros((n, n), np.float32)
+    for d in range(2, 9):
+        at = begin[df == d]
+        if len(at):
+            rows = row[at[:, None] + np.arange(d)]
+            i, j = np.triu_indices(d, 1)
+            pairs = (rows[:, i] * n + rows[:, j]).ravel()
+            out += np.bincount(pairs, minlength=n * n).reshape(n, n)
+    out += out.T
+    heavy = np.flatnonzero(df > 8)
+    for lo in range(0, len(heavy), 2_048):
+        part = heavy[lo : lo + 2_048]
+        columns = np.zeros((n, len(part)), np.float32)
+        which = np.repeat(np.arange(len(part)), df[part])
+        at = np.repeat(begin[part], df[part]) + np.arange(len(which)) - np.repeat(np.cumsum(df[part]) - df[part], df[part])
+        columns[row[at], which] = 1
+        out += columns @ columns.T
+    return out
+
+
+def _estimate(a: np.ndarray, b: np.ndarray, share: float) -> bool:
+    """Whether the union's sketch, made of both sketches, allows a resemblance of share."""
+    both = np.sort(np.concatenate([a, b]))
+    twice = both[1:] == both[:-1]
+    union = both[np.append(True, ~twice)][:SKETCH]
+    shared = int(np.searchsorted(both[1:][twice], union[-1], side="right"))
+    need = math.ceil(share * len(union) - 1e-9) if len(union) < SKETCH else least_shared(SKETCH, share)
+    return shared >= need
 
-    def linked(a: set, b: set) -> bool:
-        shared = len(a & b)
-        return bool(a) and 100 * shared >= spec.percent * (len(a) + len(b) - shared)
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pair, left, right, head = None, [], [], (None, None)
+def _forest(node: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links (i, j) enough to connect what they connect."""
+    parent = list(range(len(node)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = top(a), top(b)
+        if x != y:
+            parent[x] = y
+            out.append((int(min(node[a], node[b])), int(max(node[a], node[b]))))
+    return out
+
+
+def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of batches that are sorted by the keys, one table each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if held and (k or first != last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+KEYS = ["leader", "one", "two"]
+
+
+def plausible(groups: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
+    """The (leader, node) of groups that have a partner there by the sketches of the unions."""
 
-        def done() -> list[tuple[int, int]]:
-            return [pair] if pair is not None and any(linked(a, b) for a in left for b in right) else []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_group(batches, KEYS):
+            node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
+            sketches = [np.frombuffer(x, np.uint32) for x in table.column("sketch").to_pylist()]
+            row = np.repeat(np.arange(len(node)), [len(x) for x in sketches])
+            used = np.bincount(row, minlength=len(node))
+            shared = shared_counts(np.concatenate(sketches), row, len(node))
+            # a bound: what both sketches share is at least what the sketch of the union does
+            low = np.minimum(np.ceil(share * used - 1e-9), least_shared(SKETCH, share))
+            fits = np.minimum(size[:, None], size[None]) >= share * np.maximum(size[:, None], size[None])
+            close = fits & (shared >= np.maximum(low[:, None], low[None]))
+            np.fill_diagonal(close, False)
+            keep = np.zeros(len(node), bool)
+            for i in range(len(node)):
+                if not keep[i]:
+                    for j in np.flatnonzero(close[i]).tolist():
+                        if _estimate(sketches[i], sketches[j], share):
+                            keep[i] = keep[j] = True
+                            break
+            yield pa.record_batch([table.column("leader").combine_chunks().filter(pa.array(keep)), pa.array(node[keep])], names=["leader", "node"])
+
+    rows = _dealt(groups).join(nodes.select("node", "n", "sketch"), "node").select(*KEYS, "node", "n", "sketch")
+    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "leader long, node long").distinct()
+
+
+def exact_links(groups: DataFrame, texts: DataFrame, spec: NearSpec) -> DataFrame:
+    """(src, dst) that connect the linked nodes of each group, by their whole sets.
+
+    texts: (node, text).  A text that several rows have under one node id is that many rows.
+    """
 
-        for batch in batches:
-            out = []
-            for src, dst, second, text in batch.itertuples(index=False):
-                if (src, dst) != pair:
-                    out += done()
-                    pair, left, right = (src, dst), [], []
-                if second:
-                    right.append(shingle_set(text, spec.n))
-                else:
-                    if head[0] != text:
-                        head = (text, shingle_set(text, spec.n))  # a leader's text comes again and again
-                    left.append(head[1])
-            yield pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
-        yield pd.DataFrame(done(), columns=["src", "dst"], dtype="int64")
-
-    return rows.mapInPandas(verify, PAIR_SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_group(batches, KEYS):
+            node, block = table.column("node").to_numpy(), table.column("block").to_numpy()
+            values, sizes = [], []
+            for _, _, data, offsets in text_chunks(table.column("text")):
+                value, first = shingles(*word_hashes(data, offsets), spec.n)
+                for a, b in zip(first[:-1], first[1:], strict=True):
+                    values.append(np.unique(value[a:b]))
+                    sizes.append(len(values[-1]))
+            size = np.asarray(sizes)
+            flat, row = np.concatenate(values), np.repeat(np.arange(len(size)), size)
+            # a value that one node alone has is shared with nobody: without its values of
+            # that kind a node must be large enough to be linked with some other
+            _, where, df = np.unique(flat, return_inverse=True, return_counts=True)
+            common = np.bincount(row, df[where] > 1, len(size))
+            alive = (size > 0) & (100 * common >= spec.percent * size)
+            keep = alive[row] & (df[where] > 1)
+            number = np.cumsum(alive) - 1
+            flat, row = flat[keep], number[row[keep]]
+            node, block, size = node[alive], block[alive], size[alive]
+            out: list[tuple[int, int]] = []
+            if len(node) > 1:
+                shared = shared_counts(flat, row, len(node))
+                i, j = np.nonzero(np.triu(100 * shared >= spec.percent * (size[:, None] + size[None] - shared), 1))
+                if (block != block[0]).any():
+                    cross = block[i] != block[j]  # a block against itself is another task's work
+                    i, j = i[cross], j[cross]
+                out = _forest(node, i, j)
+            yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
+
+    rows = _dealt(groups).join(texts, "node").select(*KEYS, "node", "block", "text")
+    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -253,11 +281,8 @@ def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "t
     the set is empty and linked with nothing).  component_id is the smallest doc_id
     reachable over links, kept says doc_id = component_id.
 
-    Links are looked for by bottom-k sketches and confirmed on the whole sets; two rounds
-    find them: each list's nodes against its smallest, then whatever is still in different
-    components.  Links inside a component need no confirmation, so a group of many near
-    copies gives pairs in proportion to its size.  A linked pair goes unseen with a chance
-    of about MISS per filter.
+    Candidates come from bottom-k sketches, links are confirmed on the whole sets (of 64-bit
+    shingle hashes).  A linked pair goes unseen with a chance of about MISS per filter.
 
     Null texts are empty.  Rows with equal doc_id stand for one vertex where that id is
     their set's smallest, so all of them are in its component.  A null doc_id never names
@@ -267,24 +292,16 @@ def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "t
     """
     share = spec.percent / 100
     slim = stored(sketch_documents(docs, spec, text, key))
-    members = slim.where("n_shingles > 0")
-    # max over equal values only: first() would do, but this has a map side without order
     nodes = stored(
-        members.where("doc_id is not null")
+        slim.where("n_shingles > 0 and doc_id is not null")
         .groupBy("print")
         .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.max("low").alias("low"), F.max("sketch").alias("sketch"))
     )
-    lists = stored(inverted_lists(nodes.groupBy("node").agg(F.max(F.struct("n", "low", "sketch")).alias("x")).select("node", "x.*"), share))
-    first = stored(candidates(lists, share, True))
-    listed = lists.select("node").distinct()
+    groups = stored(inverted_lists(nodes, share))
+    groups = stored(plausible(groups, nodes, share))
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    texts = stored(texts.join(listed, "node", "left_semi"))
-    links = stored(confirmed(first, texts, spec))
-    found = stored(connected_components(links))
-    labelled = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    second = candidates(labelled, share, False).join(first, ["src", "dst"], "left_anti")
-    more = confirmed(stored(second), texts, spec)
-    found = stored(connected_components(links.union(more)))
+    texts = stored(texts.join(groups.select("node").distinct(), "node", "left_semi"))
+    found = stored(connected_components(exact_links(groups, texts, spec)))
     labels = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     out = slim.select("doc_id", "n_shingles", "print").join(labels, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
