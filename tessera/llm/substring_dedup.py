@@ -117,6 +117,25 @@ def repeats_in(contexts: list[bytes], anchor: np.ndarray, doc: np.ndarray, begin
     Row i has the strings begin[i] .. begin[i] + count[i] - 1 of document doc[i], whose bytes
     are contexts[i]; the anchor stands offset[i] bytes after the first one.
     """
+    if len(contexts) > 2 * SORT_ROWS:
+        # one anchor: strings in which it has different places never meet, so a few places
+        # at a time keep the memory small
+        found = []
+        top = int(offset.max())
+        for high in range(top, int((offset - count).min()), -4):
+            skip = np.maximum(offset - high, 0)
+            some = np.flatnonzero((skip < count) & (offset - skip > high - 4))
+            if len(some):
+                take = np.minimum(count[some] - skip[some], offset[some] - skip[some] - high + 4)
+                parts = [contexts[i][a : a + n + length - 1] for i, a, n in zip(some.tolist(), skip[some].tolist(), take.tolist(), strict=True)]
+                r, p = _repeats_in(parts, anchor[some], doc[some], begin[some] + skip[some], take, offset[some] - skip[some], length)
+                found.append((some[r], p + skip[some][r]))
+        return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+    return _repeats_in(contexts, anchor, doc, begin, count, offset, length)
+
+
+def _repeats_in(contexts: list[bytes], anchor: np.ndarray, doc: np.ndarray, begin: np.ndarray, count: np.ndarray, offset: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """repeats_in() for rows that fit into memory with all their strings."""
     sizes = np.asarray([len(x) for x in contexts], dtype=np.int64)
     data = np.frombuffer(b"".join(contexts), np.uint8)
     at = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -152,7 +171,9 @@ def repeats_in(contexts: list[bytes], anchor: np.ndarray, doc: np.ndarray, begin
     return row[later], place[later]
 
 
-RUN_SCHEMA = "h long, c long, doc long, begin long, strings int, lead int"
+#: An anchor with more different contexts than this is dealt out by single strings.
+HOT_ANCHOR = 32_768
+RUN_SCHEMA = "h long, c long, doc long, begin long, strings int, lead int, known boolean"
 
 
 def _runs_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -185,7 +206,12 @@ def _runs_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 
 
 def runs(docs: DataFrame, length: int) -> DataFrame:
-    """RUN_SCHEMA rows of docs (doc, text): each run of strings that share an anchor."""
+    """RUN_SCHEMA rows of docs (doc, text): each run of strings that share an anchor.
+
+    Of equal runs in one chunk of texts only the first needs the other chunks; the rest are
+    repeats, known as such.  Known runs that touch are one row, with a h of their own, so a
+    text that repeats itself, or a chunk of texts with one passage, gives few rows.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,19 +223,39 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
                     step = PIECE - length + 1
                     pieces = [(data[i : i + PIECE], np.asarray([0, len(data[i : i + PIECE])]), i) for i in range(0, len(data) - length + 1, step)]
                 for part, at, shift in pieces:
-                    doc, h, c, begin, count, lead = _runs_of(part, at, length)
-                    if len(doc):
-                        yield pa.record_batch(
-                            [
-                                pa.array(h.view(np.int64)),
-                                pa.array(c.view(np.int64)),
-                                pa.array(ids[lo + doc]),
-                                pa.array(begin - at[doc] + shift),
-                                pa.array(count.astype(np.int32)),
-                                pa.array(lead.astype(np.int32)),
-                            ],
-                            names=["h", "c", "doc", "begin", "strings", "lead"],
-                        )
+                    row, h, c, begin, count, lead = _runs_of(part, at, length)
+                    if not len(row):
+                        continue
+                    doc, begin = ids[lo + row], begin - at[row] + shift
+                    by = np.lexsort((begin, doc, c, h))
+                    same = np.zeros(len(by), bool)
+                    same[1:] = (h[by][1:] == h[by][:-1]) & (c[by][1:] == c[by][:-1])
+                    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
+                    # the same place in rows with one id is no repeat
+                    later = same & ((doc[by] != doc[by][first]) | (begin[by] != begin[by][first]))
+                    known = np.zeros(len(by), bool)
+                    known[by] = later
+                    # known runs in their order: those that touch in one row become one
+                    k = np.flatnonzero(known)
+                    fresh = np.ones(len(k), bool)
+                    fresh[1:] = (row[k][1:] != row[k][:-1]) | (begin[k][1:] > begin[k][:-1] + count[k][:-1] + length - 1)
+                    head = k[fresh]
+                    tail = k[np.append(fresh[1:], True)[: len(k)]]
+                    span = begin[tail] + count[tail] - begin[head]
+                    rest = np.flatnonzero(~known)
+                    spread = mix64(h[head] + (doc[head] * 1_000_003 + begin[head]).astype(np.uint64))
+                    yield pa.record_batch(
+                        [
+                            pa.array(np.concatenate([h[rest], spread]).view(np.int64)),
+                            pa.array(np.concatenate([c[rest], c[head]]).view(np.int64)),
+                            pa.array(np.concatenate([doc[rest], doc[head]])),
+                            pa.array(np.concatenate([begin[rest], begin[head]])),
+                            pa.array(np.concatenate([count[rest], span]).astype(np.int32)),
+                            pa.array(np.concatenate([lead[rest], lead[head]]).astype(np.int32)),
+                            pa.array(np.arange(len(rest) + len(head)) >= len(rest)),
+                        ],
+                        names=["h", "c", "doc", "begin", "strings", "lead", "known"],
+                    )
 
     return docs.select("doc", "text").mapInArrow(find, RUN_SCHEMA)
 
@@ -218,23 +264,34 @@ SPAN_SCHEMA = "doc long, start long, end long"
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted (h, doc, begin, strings, lead) with the bytes of its strings."""
-    rows = wanted.groupBy("doc").agg(F.collect_list(F.struct("h", "begin", "strings", "lead")).alias("runs"))
+    """wanted (h, doc, begin, strings, lead, hot) with the bytes of its strings.
+
+    Where the anchor is hot each string is a row of its own, with its hash in place of h.
+    """
+    rows = wanted.groupBy("doc").agg(F.collect_list(F.struct("h", "begin", "strings", "lead", "hot")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts, wants = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
             for i, doc in enumerate(ids):
                 body = texts[i].cast(pa.binary()).as_py()
-                want = wants[i].values
-                h, begin, strings, lead = (want.field(k) for k in ("h", "begin", "strings", "lead"))
-                b, s = begin.to_numpy(), strings.to_numpy()
+                out = []
+                for want in wants[i].values.to_pylist():
+                    begin, strings = want["begin"], want["strings"]
+                    part = body[begin : begin + strings + length - 1]
+                    if want["hot"]:
+                        for x in range(strings):
+                            one = part[x : x + length]
+                            out.append((int.from_bytes(hashlib.md5(one).digest()[:8], "big", signed=True), begin + x, 1, 0, one))
+                    else:
+                        out.append((want["h"], begin, strings, want["lead"], part))
+                h, begin, strings, lead, part = zip(*out, strict=True)
                 yield pa.record_batch(
-                    [h, pa.array(np.full(len(b), doc)), begin, strings, lead, pa.array([body[x : x + y + length - 1] for x, y in zip(b.tolist(), s.tolist(), strict=True)], pa.binary())],
+                    [pa.array(h, pa.int64()), pa.array([doc] * len(out), pa.int64()), pa.array(begin, pa.int64()), pa.array(strings, pa.int32()), pa.array(lead, pa.int32()), pa.array(part, pa.binary())],
                     names=["h", "doc", "begin", "strings", "lead", "bytes"],
                 )
 
-    return docs.join(rows, "doc").select("doc", "text", "runs").mapInArrow(cut, "h long, doc long, begin long, strings int, lead int, bytes binary")
+    return docs.join(rows.hint("merge"), "doc").select("doc", "text", "runs").mapInArrow(cut, "h long, doc long, begin long, strings int, lead int, bytes binary")
 
 
 def sorted_repeats(rows: DataFrame, length: int) -> DataFrame:
@@ -305,22 +362,23 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
         raise ValueError(f"strings of {K} bytes or fewer have no anchor")
     last = F.lit((1 << 63) - 1)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # texts join by sort-merge at every size, so that a small input shows the plan of a large one
     # whole copies of an earlier text: every byte goes, and no other text needs them
     slim = base.where(F.octet_length("text") >= length).select("doc", F.md5("text").alias("m"))
     firsts = slim.groupBy("m").agg(F.min("doc").alias("first"), F.count("*").alias("c")).where("c > 1")
     copies = stored(slim.join(firsts, "m").where("doc <> first").select("doc", "m").distinct())
     tagged = base.withColumn("m", F.md5("text"))
-    texts = tagged.join(copies, ["doc", "m"], "left_anti").select("doc", "text")
+    texts = tagged.join(copies.hint("merge"), ["doc", "m"], "left_anti").select("doc", "text")
     by_context = W.partitionBy("h", "c").orderBy("doc", "begin")
     by_anchor = W.partitionBy("h")
     found = (
         runs(texts, length)
         .withColumn("_first", F.struct(F.first("doc").over(by_context).alias("d"), F.first("begin").over(by_context).alias("b")))
-        .withColumns({"_later": (F.col("doc") > F.col("_first.d")) | (F.col("begin") > F.col("_first.b")), "_n": F.row_number().over(by_context)})
-        .withColumns({"_lo": F.min("c").over(by_anchor), "_hi": F.max("c").over(by_anchor)})
+        .withColumns({"_later": F.col("known") | (F.col("doc") > F.col("_first.d")) | (F.col("begin") > F.col("_first.b")), "_n": F.row_number().over(by_context)})
+        .withColumns({"_lo": F.min("c").over(by_anchor), "_hi": F.max("c").over(by_anchor), "_c": F.count("*").over(by_anchor)})
         .where("_later or (_lo <> _hi and _n = 1)")
     )
-    found = stored(found.select("h", "doc", "begin", "strings", "lead", "_later"))
+    found = stored(found.select("h", "doc", "begin", "strings", "lead", "_later", (F.col("_c") > HOT_ANCHOR).alias("hot")))
     whole = found.where("_later").select("doc", F.col("begin").alias("start"), (F.col("begin") + F.col("strings") + length - 1).alias("end"))
     unclear = found.where("not _later").drop("_later")
     parts = stored(sorted_repeats(contexts(texts, unclear, length), length))
@@ -341,5 +399,5 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
             types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types], names=names)
 
-    marked = tagged.join(copies.withColumn("copy", F.lit(True)), ["doc", "m"], "left").join(spans, "doc", "left")
+    marked = tagged.join(copies.withColumn("copy", F.lit(True)).hint("merge"), ["doc", "m"], "left").join(spans.hint("merge"), "doc", "left")
     return marked.select("doc_id", "text", "spans", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(finish, REST_SCHEMA)
