@@ -1,10 +1,542 @@
-"""Named queries over the driver tables and the SQL that gives the same rows."""
+"""Named queries over the driver tables and the SQL that gives the same rows.
+
+A query stands for an operator of the library applied to a whole table; roles of a relations
+table are taken by columns of part (names), documents (texts) and labels (scores).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tessera.functions import similarity as sim
+from tessera.functions import text as tx
+from tessera.functions.phonetic import with_phonetic_key
+from tessera.operators import blocking, crosscountry, dedup, evaluate, profile, training
+from tessera.operators.model import featured, train
+from tessera.operators.serve import NameIndex, Service
+from tessera.sources.io import sample_exact
+from tessera.sources.scratch import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a query under its function's name, with its SQL if there is any."""
+
+    def add(function: Callable) -> Callable:
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as a relations table: gold labels every 33rd record with its name."""
+    gold = F.when(F.col("p_partkey") % 33 == 0, F.col("p_name"))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("record_id"), F.col("p_name").alias("party_name"), F.col("p_type").alias("country"), F.col("p_brand").alias("company"), gold.alias("gold")
+    )
+
+
+RELATIONS = """rel AS (SELECT p_partkey AS record_id, p_name AS party_name, p_type AS country, p_brand AS company,
+  CASE WHEN p_partkey % 33 = 0 THEN p_name END AS gold FROM part)"""
+
+# SQL spelling of the text functions for ASCII names
+_NORM = "trim(regexp_replace(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+_TOK = "list_filter(string_split({0}, ' '), lambda t: t <> '')"
+_SORTED = "array_to_string(list_sort(" + _TOK + "), ' ')"
+_PREF = "CASE WHEN len(" + _TOK + ") >= 2 THEN array_to_string(list_transform(list_sort(" + _TOK + ")[1:2], lambda t: substr(t, 1, 4)), '|') END"
+_INIT = "array_to_string(list_transform(" + _TOK + ", lambda t: substr(t, 1, 1)), '')"
+
+
+@query(f"""SELECT p_name AS name, {_NORM.format("p_name")} AS norm, {_NORM.format("p_name")} AS lat, {_SORTED.format(_NORM.format("p_name"))} AS lat_sorted,
+  {_INIT.format(_NORM.format("p_name"))} AS initials, CAST(len({_TOK.format(_NORM.format("p_name"))}) AS INTEGER) AS n_tokens, {_PREF.format(_NORM.format("p_name"))} AS pref
+  FROM (SELECT DISTINCT p_name FROM part)""")
+def norm_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
+    keys = tx.on_distinct(names, "name", lambda c: tx.name_keys(c)).drop("legal_form")
+    return keys.withColumn("pref", tx.prefix_key("lat"))
+
+
+_LETTERS = "translate(replace(replace(replace(lower(w), 'ç', 'ch'), 'ß', ' '), '¿', ' '), 'éèêëáàâíìîïóòôúùûñäöüý', 'eeeeaaaiiiiooouuunaouy')"
+_DOC_WORDS = r"SELECT DISTINCT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents"
+
+
+@query(f"""SELECT w AS word, trim(regexp_replace(regexp_replace({_LETTERS}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS lat FROM ({_DOC_WORDS})""")
+def translit_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = table(spark, sf_dir, "documents").select(F.explode(body).alias("word")).distinct()
+    return words.withColumn("lat", tx.prep("word"))
+
+
+#: Names of several alphabets with their normal and Latin forms, by hand.
+SAMPLES = [
+    ("Иванов Пётр Сергеевич", "иванов петр сергеевич", "ivanov petr sergeevich", None),
+    ("IVANOV PETR", "ivanov petr", "ivanov petr", None),
+    ('ООО "Ромашка"', "ооо ромашка", "romashka", "llc"),
+    ("Ромашка ЖШС", "ромашка жшс", "romashka", "llc"),
+    ("Ғабдуллин Қанат Нұрланұлы", "ғабдуллин қанат нұрланұлы", "gabdullin kanat nurlanuly", None),
+    ("Աբրահամյան Արամ", "աբրահամյան արամ", "abrahamyan aram", None),
+    ("Əliyev Rəşad", "əliyev rəşad", "aliyev rashad", None),
+    ("--", "", "", None),
+    ("İvan", "i van", "i van", None),
+    ("a_b", "a_b", "a_b", None),
+    ("გიორგი", "გიორგი", "", None),
+    ("№5", "no5", "no5", None),
+    ("O'Брайен-Ли", "o брайен ли", "o brayen li", None),
+]
+_QUOTE = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_QUOTE, r)) + ")" for r in SAMPLES) + ") t(name, norm, lat, legal_form)")
+def translit_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = spark.createDataFrame([(r[0],) for r in SAMPLES], "name string")
+    keys = tx.on_distinct(names, "name", lambda c: tx.name_keys(c, True))
+    return keys.select("name", "norm", "lat", "legal_form")
+
+
+@query("SELECT * FROM (VALUES ('ООО Ромашка 24', 'cyrillic', 'cyrillic', false, 'ООО Ромашка'), ('Ivan Иван', 'mixed:cyrillic+latin', 'mixed:cyrillic+latin', false, 'Ivan Иван'), ('Әлия', 'cyrillic', 'cyrillic', true, 'Әлия'), ('Արամ', 'armenian', 'armenian', false, 'Արամ'), ('გია', 'georgian', 'georgian', false, 'გია'), ('محمد', 'arabic', 'arabic', false, 'محمد'), ('漢字', 'other', 'cjk', false, '漢字'), ('12', 'other', 'other', false, '')) t(name, label, profile_label, more_cyrillic, no_digits)")
+def script_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = spark.createDataFrame([(x,) for x in ("ООО Ромашка 24", "Ivan Иван", "Әлия", "Արամ", "გია", "محمد", "漢字", "12")], "name string")
+    return names.select("name", tx.script_label("name").alias("label"), tx.script_label("name", True).alias("profile_label"), tx.has_more_cyrillic("name").alias("more_cyrillic"), tx.strip_digits("name").alias("no_digits"))
+
+
+@query()
+def phonetic_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "part").select(tx.prep("p_name").alias("lat")).distinct()
+    return with_phonetic_key(names).withColumn("sdx", tx.soundex_key("lat"))
+
+
+def _profile_sql(name: str, kinds: dict[str, str]) -> str:
+    part = "SELECT '{0}' AS \"column\", '{1}' AS dtype, count(*) AS n, round(1 - count({0}) / count(*)::DOUBLE, 6) AS null_share, count(DISTINCT {0}) AS n_distinct FROM {2}"
+    return " UNION ALL ".join(part.format(c, k, name) for c, k in kinds.items())
+
+
+@query("WITH " + RELATIONS + " " + _profile_sql("rel", {"record_id": "bigint", "party_name": "string", "country": "string", "company": "string", "gold": "string"}))
+def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.profile_columns(relations(spark, sf_dir))
+
+
+_COUNTS = """counts AS (SELECT 'country' AS "column", country AS value, count(*) AS n FROM rel GROUP BY 2 UNION ALL SELECT 'company', company, count(*) FROM rel GROUP BY 2)"""
+
+
+@query(f"""WITH {RELATIONS}, {_COUNTS} SELECT "column", value, n, round(n / sum(n) OVER (PARTITION BY "column"), 6) AS share FROM counts""")
+def low_card_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.low_cardinality_values(relations(spark, sf_dir), ["country", "company"])
+
+
+@query(f"""WITH {RELATIONS}, {_COUNTS}, r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS r FROM counts)
+  SELECT "column", count(*) AS n_values, round(sum(n) FILTER (r <= 3) / sum(n), 6) AS top_share FROM r GROUP BY 1""")
+def category_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.skew_of(relations(spark, sf_dir), ["country", "company"])
+
+
+@query("SELECT round(avg((NOT contains(c_name, ' '))::INT), 6) AS no_space, round(avg(regexp_matches(c_name, '^[A-Za-z0-9_\\-.:]+$')::INT), 6) AS code_like FROM customer")
+def id_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.id_shares(table(spark, sf_dir, "customer"), "c_name", None)
+
+
+_WORDS = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
+
+
+@query(rf"""SELECT count(*) AS n, CAST(min(length(text)) AS INTEGER) AS len_min, CAST(trunc(quantile_cont(length(text), 0.5)) AS BIGINT) AS len_p50, CAST(trunc(quantile_cont(length(text), 0.95)) AS BIGINT) AS len_p95,
+  CAST(max(length(text)) AS INTEGER) AS len_max, CAST(trunc(quantile_cont({_WORDS}, 0.5)) AS BIGINT) AS tok_p50, CAST(trunc(quantile_cont({_WORDS}, 0.95)) AS BIGINT) AS tok_p95, CAST(max({_WORDS}) AS INTEGER) AS tok_max,
+  round(avg(({_WORDS} = 1)::INT), 6) AS single_token, round(avg(regexp_matches(text, '[\x{{450}}-\x{{52F}}]')::INT), 6) AS more_cyrillic, round(1 - count(DISTINCT text) / count(*)::DOUBLE, 6) AS dup_share FROM documents""")
+def text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.text_stats(table(spark, sf_dir, "documents"), "text", None)
+
+
+@query(r"""WITH s AS (SELECT array_to_string(list_filter([CASE WHEN regexp_matches(text, '[\x{600}-\x{6FF}]') THEN 'arabic' END, CASE WHEN regexp_matches(text, '[\x{530}-\x{58F}]') THEN 'armenian' END,
+  CASE WHEN regexp_matches(text, '[\x{400}-\x{52F}]') THEN 'cyrillic' END, CASE WHEN regexp_matches(text, '[A-Za-z\x{C0}-\x{24F}]') THEN 'latin' END], lambda x: x IS NOT NULL), '+') AS l FROM documents)
+  SELECT CASE WHEN l = '' THEN 'other' WHEN contains(l, '+') THEN 'mixed:' || l ELSE l END AS script, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 6) AS share FROM s GROUP BY 1""")
+def script_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.script_distribution(table(spark, sf_dir, "documents"), "text")
+
+
+@query("""WITH x AS (SELECT length(text)::DOUBLE AS x FROM documents), e AS (SELECT quantile_cont(x, 0.99) AS hi, min(x) AS lo FROM x),
+  b AS (SELECT least(coalesce(floor((least(x, hi) - lo) / nullif((hi - lo) / 60, 0)), 0), 59) AS b, lo, hi FROM x, e)
+  SELECT CAST(b AS INTEGER) AS bin, round(lo + b * coalesce((hi - lo) / 60, 0), 6) AS low, count(*) AS n FROM b GROUP BY 1, 2""")
+def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.length_histogram(table(spark, sf_dir, "documents"), "text")
+
+
+@query("SELECT p_brand AS value, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, value LIMIT 15")
+def bar_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.bar_chart(table(spark, sf_dir, "part"), "p_brand", 15)
+
+
+_SIZES = f"{RELATIONS}, sizes AS (SELECT gold, count(*) AS n FROM rel WHERE gold IS NOT NULL GROUP BY 1)"
+
+
+@query(f"""WITH {_SIZES} SELECT count(*) AS entities, CAST(sum(n) AS BIGINT) AS records, count(*) FILTER (n > 1) AS groups, CAST(trunc(quantile_cont(n, 0.5)) AS BIGINT) AS size_p50, CAST(trunc(quantile_cont(n, 0.9)) AS BIGINT) AS size_p90,
+  CAST(trunc(quantile_cont(n, 0.99)) AS BIGINT) AS size_p99, max(n) AS size_max, CAST(sum(n * (n - 1) // 2) AS BIGINT) AS pairs, CAST(sum(least(n * (n - 1) // 2, 100)) AS BIGINT) AS pairs_capped,
+  round(max(n * (n - 1) // 2) / greatest(sum(n * (n - 1) // 2), 1), 6) AS largest_share FROM sizes""")
+def entity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.entity_stats(relations(spark, sf_dir), "gold")
+
+
+@query(f"WITH {_SIZES} SELECT n, count(*) AS entities FROM sizes GROUP BY 1 ORDER BY 1 LIMIT 20")
+def size_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.size_histogram(relations(spark, sf_dir), "gold")
+
+
+@query(f"WITH {RELATIONS} SELECT * FROM rel WHERE gold IS NOT NULL QUALIFY count(*) OVER (PARTITION BY gold) > 1")
+def multi_member_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.members_of_groups(relations(spark, sf_dir), "gold")
+
+
+@query(f"""WITH {RELATIONS}, r AS (SELECT CAST(company AS VARCHAR) AS g, {_NORM.format("party_name")} AS name, country FROM rel),
+  p AS (SELECT g, count(*) AS n, count(DISTINCT name) AS names, count(DISTINCT country) AS countries FROM r GROUP BY 1 HAVING count(*) > 1)
+  SELECT count(*) AS groups, round(avg((names = 1)::INT), 6) AS one_spelling, 0.0::DOUBLE AS multi_script, round(avg(names / n::DOUBLE), 6) AS variety, round(avg((countries > 1)::INT), 6) AS multi_country FROM p""")
+def cluster_difficulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.entity_difficulty(relations(spark, sf_dir), "company", "party_name", "country")
+
+
+@query(f"""WITH {RELATIONS}, c AS (SELECT 'gold' AS "column", count(gold) / count(*)::DOUBLE AS filled, 1 - count(DISTINCT gold) / nullif(count(gold), 0)::DOUBLE AS repeat FROM rel)
+  SELECT "column", round(filled, 6) AS filled, round(repeat, 6) AS repeat, round(repeat * least(20 * filled, 1), 6) AS score FROM c WHERE filled > 0.001 AND filled < 0.5 AND repeat > 0.05""")
+def gold_candidate_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = profile.gold_scores(relations(spark, sf_dir))
+    return df
+
+
+_LAT = f"{RELATIONS}, keyed AS (SELECT *, {_NORM.format('party_name')} AS lat FROM rel)"
+
+
+@query(f"WITH {_LAT} SELECT lat, count(DISTINCT country) AS countries FROM keyed WHERE lat <> '' GROUP BY 1 HAVING count(DISTINCT country) > 1")
+def crosscountry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosscountry.shared_keys(relations(spark, sf_dir), "party_name", "country")
+
+
+@query(f"WITH {_LAT}, s AS (SELECT lat, count(DISTINCT country) AS countries FROM keyed GROUP BY 1 HAVING count(DISTINCT country) > 1) SELECT countries, count(*) AS keys FROM s GROUP BY 1")
+def crosscountry_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosscountry.distribution(crosscountry.shared_keys(relations(spark, sf_dir), "party_name", "country"))
+
+
+@query(f"WITH {_LAT}, s AS (SELECT lat FROM keyed GROUP BY 1 HAVING count(DISTINCT country) > 1) SELECT count(*) AS found, 3693::BIGINT AS expected, count(*) - 3693 AS delta FROM s")
+def crosscountry_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosscountry.against_expected(crosscountry.shared_keys(relations(spark, sf_dir), "party_name", "country"), 3693)
+
+
+@query(f"WITH {RELATIONS}, p AS (SELECT gold, count(DISTINCT country) AS c FROM rel WHERE gold IS NOT NULL GROUP BY 1) SELECT count(*) AS entities, count(*) FILTER (c > 1) AS multi_country FROM p")
+def gold_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosscountry.gold_coverage(relations(spark, sf_dir), "gold", "country")
+
+
+@query(f"WITH {_LAT} SELECT lat FROM keyed GROUP BY 1 HAVING count(DISTINCT company) >= 20 OR length(lat) < 3")
+def stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.stop_list(dedup.with_lat(relations(spark, sf_dir), "party_name"), "company", 20)
+
+
+@query(f"""WITH {_LAT}, s AS (SELECT lat FROM keyed GROUP BY 1 HAVING count(DISTINCT company) >= 20 OR length(lat) < 3)
+  SELECT count(*) AS n_rows, count(s.lat) AS n_stopped, round(count(s.lat) / count(*)::DOUBLE, 6) AS share, count(DISTINCT s.lat) AS n_names FROM keyed LEFT JOIN s USING (lat)""")
+def stop_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = dedup.with_lat(relations(spark, sf_dir), "party_name")
+    return dedup.stop_share(keyed, dedup.stop_list(keyed, "company", 20))
+
+
+def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name_id, lat): part names with deterministic misspellings, so that blocks and edges are not empty."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("n"))
+    two, one = F.split("n", " ")[1], F.split("n", " ")[0]
+    other = [
+        ("true", F.col("n")),
+        ("true", F.concat_ws(" ", two, one)),
+        ("p_partkey % 3 = 0", F.expr("substring(n, 1, length(n) - 1)")),
+        ("p_partkey % 5 = 0", F.expr("concat(n, right(n, 1))")),
+        ("p_partkey % 7 = 0", F.concat(one, F.lit(" "), F.substring(two, 1, 1))),
+    ]
+    made = F.array_compact(F.array(*[F.when(F.expr(c), v) for c, v in other]))
+    names = p.select(F.explode(made).alias("lat")).distinct()
+    return names.withColumn("name_id", F.conv(F.substring(F.md5("lat"), 1, 12), 16, 10).cast("long"))
+
+
+_VARIANTS = """v0 AS (SELECT p_partkey AS k, p_name AS n, string_split(p_name, ' ')[1] AS a, string_split(p_name, ' ')[2] AS b FROM part),
+v1 AS (SELECT n AS lat FROM v0 UNION SELECT b || ' ' || a FROM v0 UNION SELECT substr(n, 1, length(n) - 1) FROM v0 WHERE k % 3 = 0
+  UNION SELECT n || right(n, 1) FROM v0 WHERE k % 5 = 0 UNION SELECT a || ' ' || substr(b, 1, 1) FROM v0 WHERE k % 7 = 0),
+names AS (SELECT lat, CAST('0x' || substr(md5(lat), 1, 12) AS BIGINT) AS name_id FROM v1)"""
+_KEYS = f"keys AS (SELECT 'sorted' AS key_type, {_SORTED.format('lat')} AS key, name_id FROM names UNION ALL SELECT 'pref', {_PREF.format('lat')}, name_id FROM names WHERE {_PREF.format('lat')} IS NOT NULL)"
+_PAIRS = "sizes AS (SELECT key_type, key, count(*) AS n FROM keys GROUP BY ALL), ok AS (SELECT k.* FROM keys k JOIN sizes s USING (key_type, key) WHERE s.n BETWEEN 2 AND {cap}), pairs AS (SELECT DISTINCT a.name_id AS src, b.name_id AS dst FROM ok a JOIN ok b USING (key_type, key) WHERE a.name_id < b.name_id)"
+
+
+def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.blocking_keys(variants(spark, sf_dir), phon=None)
+
+
+@query(f"WITH {_VARIANTS}, {_KEYS} SELECT key_type, key, name_id FROM keys")
+def blocking_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(spark, sf_dir)
+
+
+@query(f"WITH {_VARIANTS}, {_KEYS} SELECT key_type, key, count(*) AS n FROM keys GROUP BY ALL")
+def block_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.block_sizes(_keys(spark, sf_dir))
+
+
+@query(f"WITH {_VARIANTS}, {_KEYS} SELECT key_type, key, count(*) AS n FROM keys GROUP BY ALL HAVING count(*) > 3")
+def oversize_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.block_sizes(_keys(spark, sf_dir)).where("n > 3")
+
+
+@query(f"WITH {_VARIANTS}, {_KEYS}, {_PAIRS.format(cap=60)} SELECT src, dst FROM pairs")
+def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.candidate_pairs(_keys(spark, sf_dir))
+
+
+@query(f"WITH {_VARIANTS}, {_KEYS}, {_PAIRS.format(cap=3)} SELECT src, dst FROM pairs")
+def candidate_pairs_small_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.candidate_pairs(_keys(spark, sf_dir), 3)
+
+
+@query(f"WITH {_VARIANTS}, {_KEYS}, {_PAIRS.format(cap=60)}, n AS (SELECT count(*) AS n FROM names), c AS (SELECT count(*) AS c FROM pairs) SELECT n AS n_names, c AS n_pairs, round(1 - c / (n * (n - 1) / 2.0), 6) AS reduction FROM n, c")
+def reduction_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = variants(spark, sf_dir).agg(F.count("*").alias("n_names"))
+    c = candidate_pairs(spark, sf_dir).agg(F.count("*").alias("n_pairs"))
+    return n.join(F.broadcast(c)).withColumn("reduction", F.round(blocking.reduction(F.col("n_names"), F.col("n_pairs")), 6))
+
+
+def _named_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = stored(variants(spark, sf_dir))
+    pairs = blocking.candidate_pairs(blocking.blocking_keys(names, phon=None))
+    side = lambda k, n: names.select(F.col("name_id").alias(k), F.col("lat").alias(n))
+    return pairs.join(side("src", "left"), "src").join(side("dst", "right"), "dst")
+
+
+_NAMED = f"{_VARIANTS}, {_KEYS}, {_PAIRS.format(cap=60)}, named AS (SELECT src, dst, a.lat AS l, b.lat AS r FROM pairs JOIN names a ON a.name_id = src JOIN names b ON b.name_id = dst)"
+_LEV = "CASE WHEN greatest(length({0}), length({1})) = 0 THEN 1.0 ELSE 1 - levenshtein({0}, {1}) / greatest(length({0}), length({1}))::DOUBLE END"
+
+
+@query(f"""WITH {_NAMED} SELECT src, dst, round({_LEV.format("l", "r")}, 6) AS levenshtein, round(jaro_winkler_similarity(l, r), 6) AS jaro_winkler, round(abs(length(l) - length(r)) / (length(l) + length(r) + 1)::DOUBLE, 6) AS len_diff,
+  abs(len({_TOK.format("l")}) - len({_TOK.format("r")}))::DOUBLE AS tok_diff, ({_INIT.format("l")} = {_INIT.format("r")})::INT::DOUBLE AS same_init, least(len({_TOK.format("l")}), len({_TOK.format("r")}))::DOUBLE AS min_tokens FROM named""")
+def pair_features_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _named_pairs(spark, sf_dir).withColumn("jaro_winkler", sim.jaro_winkler_score("left", "right"))
+    f = sim.native_features("left", "right")
+    return df.select("src", "dst", *[F.round(F.col(k) if k == "jaro_winkler" else f[k], 6).alias(k) for k in ("levenshtein", "jaro_winkler", "len_diff", "tok_diff", "same_init", "min_tokens")])
+
+
+@query()
+def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return featured(_named_pairs(spark, sf_dir))
+
+
+def _rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named_pairs(spark, sf_dir).select("src", "dst", sim.levenshtein_score(tx.sorted_tokens("left"), tx.sorted_tokens("right")).alias("score"))
+
+
+_SCORED = f"{_NAMED}, sorted AS (SELECT src, dst, {_SORTED.format('l')} AS l, {_SORTED.format('r')} AS r FROM named), scored AS (SELECT src, dst, {_LEV.format('l', 'r')} AS score FROM sorted)"
+_CLOSURE = """e{i} AS (SELECT src AS u, dst AS v FROM scored WHERE score >= {t} UNION ALL SELECT dst, src FROM scored WHERE score >= {t}),
+reach{i}(a, b) AS (SELECT name_id, name_id FROM names UNION SELECT r.a, e.v FROM reach{i} r JOIN e{i} e ON r.b = e.u), comp{i} AS (SELECT a AS name_id, min(b) AS component FROM reach{i} GROUP BY a)"""
+
+
+@query(f"WITH RECURSIVE {_SCORED}, {_CLOSURE.format(i=0, t=0.8)} SELECT name_id, component FROM comp0")
+def cluster_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.components_of(variants(spark, sf_dir), _rule_score(spark, sf_dir).where("score >= 0.8"))
+
+
+@query(f"WITH RECURSIVE {_SCORED}, {_CLOSURE.format(i=0, t=0.9)}, s AS (SELECT component, count(*) AS n FROM comp0 GROUP BY 1) SELECT n, count(*) AS clusters FROM s GROUP BY 1")
+def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    comps = dedup.components_of(variants(spark, sf_dir), _rule_score(spark, sf_dir).where("score >= 0.9"))
+    return dedup.cluster_sizes(comps, "component").groupBy("n").agg(F.count("*").alias("clusters"))
+
+
+def _resolved(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, names, scored) of a table of misspelled names: record i has the i-th name of its hash, a brand as company and a type as country."""
+    names = variants(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", F.col("p_name").alias("lat"))
+    swapped = F.when(F.col("p_partkey") % 2 == 0, F.concat_ws(" ", F.split("lat", " ")[1], F.split("lat", " ")[0])).otherwise(F.col("lat"))
+    df = p.select(F.col("p_partkey").alias("record_id"), F.col("p_type").alias("country"), F.col("p_brand").alias("company"), swapped.alias("lat"), F.when(F.col("p_partkey") % 33 == 0, F.col("lat")).alias("gold"))
+    stops = dedup.stop_list(df, "company", 12)
+    return df, names.join(stops, "lat", "left_anti"), _rule_score(spark, sf_dir)
+
+
+_RESOLVED = f"""{_SCORED}, rec AS (SELECT p_partkey AS record_id, p_type AS country, p_brand AS company, CASE WHEN p_partkey % 2 = 0 THEN string_split(p_name, ' ')[2] || ' ' || string_split(p_name, ' ')[1] ELSE p_name END AS lat,
+  CASE WHEN p_partkey % 33 = 0 THEN p_name END AS gold FROM part), stops AS (SELECT lat FROM rec GROUP BY 1 HAVING count(DISTINCT company) >= 12 OR length(lat) < 3)"""
+_CLUSTERED = "cl{i} AS (SELECT rec.*, CASE WHEN s.lat IS NULL THEN component ELSE -1 END AS cluster_id FROM rec JOIN names USING (lat) JOIN comp{i} USING (name_id) LEFT JOIN stops s ON s.lat = rec.lat)"
+# stopped names are no nodes: edges that touch them are left out
+_LIVE = "live AS (SELECT name_id FROM names WHERE lat NOT IN (SELECT lat FROM stops))"
+_LIVE_CLOSURE = """e{i} AS (SELECT src AS u, dst AS v FROM scored WHERE score >= {t} AND src IN (FROM live) AND dst IN (FROM live) UNION ALL SELECT dst, src FROM scored WHERE score >= {t} AND src IN (FROM live) AND dst IN (FROM live)),
+reach{i}(a, b) AS (SELECT name_id, name_id FROM names UNION SELECT r.a, e.v FROM reach{i} r JOIN e{i} e ON r.b = e.u), comp{i} AS (SELECT a AS name_id, min(b) AS component FROM reach{i} GROUP BY a)"""
+
+
+def _clustered(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
+    df, names, scored = _resolved(spark, sf_dir)
+    names = stored(names)
+    live = names.select("name_id")
+    edges = scored.where(F.col("score") >= threshold).join(live.withColumnRenamed("name_id", "src"), "src").join(live.withColumnRenamed("name_id", "dst"), "dst")
+    return dedup.assign_clusters(df, names, dedup.components_of(names, edges))
+
+
+@query(f"""WITH RECURSIVE {_RESOLVED}, {_LIVE}, {_LIVE_CLOSURE.format(i=0, t=0.8)}, {_CLUSTERED.format(i=0)},
+  per AS (SELECT cluster_id, count(*) AS n, count(DISTINCT country) AS c FROM cl0 WHERE cluster_id <> -1 GROUP BY 1)
+  SELECT count(*) AS clusters, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS records_in_groups, round(coalesce(sum(n) FILTER (n > 1), 0) / sum(n), 6) AS dup_share, CAST(trunc(quantile_cont(n, 0.5)) AS BIGINT) AS p50,
+  CAST(trunc(quantile_cont(n, 0.9)) AS BIGINT) AS p90, CAST(trunc(quantile_cont(n, 0.99)) AS BIGINT) AS p99, CAST(trunc(quantile_cont(n, 0.999)) AS BIGINT) AS p999, max(n) AS max_cluster, count(*) FILTER (c > 1) AS multi_country FROM per""")
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.cluster_report(_clustered(spark, sf_dir, 0.8))
+
+
+@query(f"""WITH RECURSIVE {_RESOLVED}, {_LIVE}, {_LIVE_CLOSURE.format(i=0, t=0.8)}, {_CLUSTERED.format(i=0)},
+  per AS (SELECT gold, count(DISTINCT cluster_id) AS c, min(cluster_id) AS lo FROM cl0 WHERE gold IS NOT NULL GROUP BY 1)
+  SELECT count(*) AS entities, count(*) FILTER (c = 1) AS whole, count(*) FILTER (c = 1 AND lo <> -1) AS whole_resolved, round(count(*) FILTER (c = 1) / nullif(count(*), 0)::DOUBLE, 6) AS share,
+  round(count(*) FILTER (c = 1 AND lo <> -1) / nullif(count(*), 0)::DOUBLE, 6) AS share_resolved FROM per""")
+def gold_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.gold_recall(_clustered(spark, sf_dir, 0.8), "gold")
+
+
+_SWEEP_GRID = (0.8, 0.9, 0.95, 1.0)
+
+
+@query(
+    f"WITH RECURSIVE {_RESOLVED}, {_LIVE}, "
+    + ", ".join(_LIVE_CLOSURE.format(i=i, t=t) + ", " + _CLUSTERED.format(i=i) + f", per{i} AS (SELECT cluster_id, count(*) AS n, count(DISTINCT country) AS c FROM cl{i} GROUP BY 1)" for i, t in enumerate(_SWEEP_GRID))
+    + " "
+    + " UNION ALL ".join(
+        f"SELECT {t}::DOUBLE AS threshold, (SELECT count(*) FROM scored WHERE score >= {t}) AS edges, count(*) FILTER (cluster_id <> -1) AS clusters, round(coalesce(sum(n) FILTER (cluster_id <> -1 AND n > 1) / sum(n), 0), 6) AS dup_share, max(n) FILTER (cluster_id <> -1) AS max_cluster, count(*) FILTER (cluster_id <> -1 AND c > 1) AS cross_country FROM per{i}"
+        for i, t in enumerate(_SWEEP_GRID)
+    )
+)
+def calibration_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, names, scored = _resolved(spark, sf_dir)
+    return dedup.calibration_sweep(df, names, stored(scored), _SWEEP_GRID)
+
+
+@query(f"""WITH {_VARIANTS}, q AS (SELECT DISTINCT p_name AS query FROM part), s AS (SELECT query, lat AS name, round({_LEV.format("query", "lat")}, 6) AS score FROM q JOIN names ON string_split(query, ' ')[1] = string_split(lat, ' ')[1]),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, name) AS rank FROM s) SELECT query, CAST(rank AS INTEGER) AS rank, name, score FROM r WHERE rank <= 3 AND score >= 0.5""")
+def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = table(spark, sf_dir, "part").select(F.col("p_name").alias("query")).distinct().withColumn("t", F.split("query", " ")[0])
+    names = variants(spark, sf_dir).select(F.col("lat").alias("name"), F.split("lat", " ")[0].alias("t"))
+    scored = q.join(names, "t").withColumn("score", F.round(sim.levenshtein_score("query", "name"), 6))
+    ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "name")))
+    return ranked.where("rank <= 3 and score >= 0.5").select("query", "rank", "name", "score")
+
+
+@query(f"""WITH {_VARIANTS}, g AS (SELECT string_split(lat, ' ')[1] AS s, lat, row_number() OVER (PARTITION BY string_split(lat, ' ')[1] ORDER BY lat) AS n FROM names WHERE len({_TOK.format("lat")}) >= 2),
+  p AS (SELECT a.s, a.lat AS l, b.lat AS r, {_LEV.format("a.lat", "b.lat")} AS sc FROM g a JOIN g b USING (s) WHERE a.n <= 8 AND b.n <= 8 AND a.lat <> b.lat),
+  b AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY sc DESC, r) AS k FROM p WHERE sc >= 0.6)
+  SELECT l AS "left", r AS "right", 0 AS label, 0 AS n_ops, 'однофамильцы' AS kind FROM b WHERE k = 1""")
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.hard_negatives(variants(spark, sf_dir), score=sim.levenshtein_score("left", "right"))
+
+
+_SPLIT = """d AS (SELECT DISTINCT c_name AS k FROM customer), r AS (SELECT k, row_number() OVER (ORDER BY md5('42|' || k), k) AS r, count(*) OVER () AS n FROM d),
+s AS (SELECT k, CASE WHEN r <= floor(n * 0.7) THEN 'train' WHEN r <= floor(n * (0.7 + 0.15)) THEN 'valid' ELSE 'test' END AS split FROM r)"""
+
+
+@query(f"WITH {_SPLIT} SELECT k AS \"left\", split FROM s")
+def split_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.split_by_entity(table(spark, sf_dir, "customer").select(F.col("c_name").alias("left"))).select("left", "split")
+
+
+@query(f"WITH {_SPLIT} SELECT split, count(*) AS n, CAST(sum((c_nationkey % 2 = 0)::INT) AS BIGINT) AS positives FROM customer JOIN s ON k = c_name GROUP BY 1")
+def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = table(spark, sf_dir, "customer").select(F.col("c_name").alias("left"), (F.col("c_nationkey") % 2 == 0).cast("int").alias("label"))
+    return evaluate.group_counts(training.split_by_entity(pairs), "split")
+
+
+@query("SELECT 0::BIGINT AS n")
+def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.leakage(training.split_by_entity(table(spark, sf_dir, "customer").select(F.col("c_name").alias("left"))))
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY md5('42|' || c_custkey), c_custkey LIMIT 100")
+def sample_exact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_exact(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), 100, 42, ["c_custkey"])
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """labels with a score that depends on the length of the document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", (F.least(F.col("n_chars"), F.lit(4000)) / 4000.0).alias("score"))
+    return table(spark, sf_dir, "labels").join(docs, "doc_id").select("doc_id", "lang", "score", F.col("quality").alias("label"))
+
+
+_JUDGED = "j AS (SELECT doc_id, lang, least(n_chars, 4000) / 4000.0 AS score, quality AS label FROM labels JOIN documents USING (doc_id))"
+
+
+@query(f"WITH {_JUDGED} SELECT count(*) FILTER (score < 0.5 AND label <> 1) AS tn, count(*) FILTER (score >= 0.5 AND label <> 1) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn, count(*) FILTER (score >= 0.5 AND label = 1) AS tp FROM j")
+def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.confusion(_judged(spark, sf_dir))
+
+
+_AT = "SELECT {by} t AS threshold, count(*) FILTER (score >= t AND label = 1) AS tp, count(*) FILTER (score >= t AND label <> 1) AS fp, count(*) FILTER (score < t AND label = 1) AS fn FROM j, grid GROUP BY ALL"
+_PRF = "round(coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0), 6) AS f1"
+
+
+@query(f"WITH {_JUDGED}, grid AS (SELECT unnest([0.3, 0.5, 0.7, 0.9, 0.95])::DOUBLE AS t), c AS ({_AT.format(by='')}) SELECT threshold, {_PRF} FROM c")
+def prf_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.at_thresholds(_judged(spark, sf_dir))
+
+
+@query(f"WITH {_JUDGED}, grid AS (SELECT unnest(range(50, 99)) / 100.0 AS t), c AS ({_AT.format(by='')}), f AS (SELECT threshold, {_PRF} FROM c) SELECT threshold, f1 FROM f ORDER BY f1 DESC, threshold LIMIT 1")
+def best_f1_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.best_f1_threshold(_judged(spark, sf_dir))
+
+
+@query(f"""WITH {_JUDGED}, r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM j)
+  SELECT round((sum(r) FILTER (label = 1) - p * (p + 1) / 2.0) / (p * q), 6) AS auc FROM r, (SELECT count(*) FILTER (label = 1)::DOUBLE AS p, count(*) FILTER (label <> 1)::DOUBLE AS q FROM j) GROUP BY p, q""")
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.roc_auc(_judged(spark, sf_dir))
+
+
+@query(f"WITH {_JUDGED} SELECT lang, count(*) AS n, round(avg(((score >= 0.5) = (label = 1))::INT), 6) AS accuracy FROM j GROUP BY 1")
+def slice_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.slice_accuracy(_judged(spark, sf_dir), "lang")
+
+
+@query(f"""WITH {_JUDGED}, c AS (SELECT lang, count(*) AS n, count(*) FILTER (label = 1) AS positives, count(*) FILTER (score >= 0.5 AND label = 1) AS tp, count(*) FILTER (score >= 0.5 AND label <> 1) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn FROM j GROUP BY 1)
+  SELECT lang, n, positives, {_PRF} FROM c WHERE positives >= 50""")
+def metrics_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.by_group(_judged(spark, sf_dir), "lang")
+
+
+def _train_small(spark: SparkSession, sf_dir: str):
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).union(variants(spark, sf_dir).select("lat"))
+    pairs = stored(featured(training.split_by_entity(training.training_pairs(names, 600, 300, 300))))
+    return train(pairs, rounds=10), pairs
+
+
+@query()
+def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = variants(spark, sf_dir).select(F.col("lat").alias("name"))
+    return training.split_by_entity(training.training_pairs(names))
+
+
+@query()
+def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, pairs = _train_small(spark, sf_dir)
+    return model.predict(pairs.where("split = 'test'")).select("left", "right", "label", "kind", "n_ops", "proba", (F.col("proba") >= 0.5).cast("int").alias("pred"))
+
+
+@query()
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = _train_small(spark, sf_dir)
+    return spark.createDataFrame(model.importances(), "feature string, gain double, description string")
+
+
+@query()
+def service_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = _train_small(spark, sf_dir)
+    names = variants(spark, sf_dir).select(F.col("lat").alias("name"))
+    asked = table(spark, sf_dir, "part").select(F.col("p_name").alias("query")).distinct()
+    return Service(model, NameIndex.build(names)).search(asked)
+
+
+@query()
+def service_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, pairs = _train_small(spark, sf_dir)
+    return Service(model).check_duplicates(pairs.select("left", "right"))
+
+
+@query()
+def service_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = _train_small(spark, sf_dir)
+    names = variants(spark, sf_dir).select((F.row_number().over(W.orderBy("lat")) - 1).cast("long").alias("position"), F.col("lat").alias("name"))
+    return Service(model).deduplicate_batch(names)

@@ -1 +1,3 @@
-
+"""Nothing here keeps state: the text functions and features are column expressions and Arrow
+UDFs, which work on streaming frames as they are; all other operators are for batches.
+"""
