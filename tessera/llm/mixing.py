@@ -193,7 +193,9 @@ def materialise(mixed: DataFrame, text: str = "text") -> DataFrame:
     """
     own = ["size", "source_size", "target", "taken", "copies"]
     df = mixed.withColumn("_copy", F.explode("copies")).drop("pass", "shard", "order")
-    head = F.regexp_extract(F.col(text), F.concat(F.lit(f"^(?:{SPACE_CLASS}*{WORD_PATTERN}){{"), F.col("_copy.words").cast("string"), F.lit("}")), 0)
+    # each piece is a word and the white space before it, so what is kept is a whole start
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"{SPACE_CLASS}*{WORD_PATTERN}"), F.lit(0))
+    head = F.array_join(F.slice(pieces, 1, F.col("_copy.words").cast("int")), "")
     df = df.withColumn(text, F.when(F.col("_copy.words") < F.col("size"), head).otherwise(F.col(text)))
     return df.withColumns({"pass": F.col("_copy.pass"), "shard": F.col("_copy.shard"), "order": F.col("_copy.order")}).drop("_copy", *own)
 
