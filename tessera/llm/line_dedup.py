@@ -23,12 +23,11 @@ from tessera.operators.graph import connected_components
 TAU = 2
 #: Edits allowed per character of the longer line.
 RATIO = 0.1
-#: Classes of characters whose sums are compared before two lines are; one more than the
-#: sums that 2 * TAU changed characters can touch, so one sum at least stays equal.
-SUMS = 2 * TAU + 1
-_BITS = 12
-#: Keys under which more lines meet are split by the sums.
-HOT_KEY = 1_024
+#: Classes of characters that are counted before two lines are compared.
+CLASSES = 32
+#: Keys under which more lines meet are split by parts of the counts: PARTS of them, one more
+#: than the classes that tau edits can touch, so that one part at least is equal.
+HOT_KEY, PARTS = 1_024, 2 * TAU + 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -39,8 +38,8 @@ def segments(length: np.ndarray, i: int, tau: int) -> tuple[np.ndarray, np.ndarr
     return i * small + long_before, small + (i >= tau + 1 - extra)
 
 
-def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, is index, sums) of the lines of a chunk that have the shortest length or more.
+def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, is index) of the lines of a chunk that have the shortest length or more.
 
     A line is listed under its own segments and probes those of lines up to tau shorter, at
     the starts where tau edits left and right of the segment allow it to stand.
@@ -55,16 +54,7 @@ def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) ->
     inverse = powers(n + 1, pow(_BASE, -1, 1 << 64))
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * table[:n], out=prefix[1:])
-    # per line and class of characters, the sum of random values of its first bytes
     rows = np.flatnonzero(length >= shortest)
-    values = mix64(np.arange(256, dtype=np.uint64) + np.uint64(77))
-    parts = np.zeros(256, np.uint64)
-    sums = np.zeros(len(rows), np.uint64)
-    for j in range(SUMS):
-        parts[:] = np.where((values >> np.uint64(40)) % np.uint64(SUMS) == j, values & np.uint64((1 << 32) - 1), np.uint64(0))
-        running = np.concatenate([[np.uint64(0)], np.cumsum(parts[data])])
-        own = mix64(running[offsets[1:]][rows] - running[offsets[:-1]][rows]) >> np.uint64(64 - _BITS)
-        sums |= own << np.uint64(j * _BITS)
     size, start = length[rows], first[rows]
     out_row, out_key, out_index = [], [], []
 
@@ -87,12 +77,11 @@ def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) ->
                     continue  # the line's own segment: listed there already
                 keep = np.flatnonzero((other >= shortest) & (at + shift >= 0) & (at + shift + chars <= size))
                 emit(keep, other[keep], i, (at + shift)[keep], chars[keep], False)
-    row = np.concatenate(out_row)
-    return row, np.concatenate(out_key), np.concatenate(out_index), sums[np.searchsorted(rows, row)]
+    return np.concatenate(out_row), np.concatenate(out_key), np.concatenate(out_index)
 
 
-KEY_SCHEMA = "key long, line long, sums long, own boolean"
-GROUP_SCHEMA = "key long, line long, sums long, own boolean, c int"
+KEY_SCHEMA = "key long, line long, own boolean"
+GROUP_SCHEMA = "key long, line long, own boolean, c int"
 
 
 def _key_rows(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
@@ -105,11 +94,8 @@ def _key_rows(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
             new = [i for i, x in enumerate(ids.tolist()) if x not in seen and not seen.add(x)]
             ids, texts = ids[new], batch.column(1).take(pa.array(new, pa.int64()))
             for lo, _, data, offsets in text_chunks(texts):
-                row, key, own, sums = line_keys(data, offsets, tau, shortest)
-                yield pa.record_batch(
-                    [pa.array(key.view(np.int64)), pa.array(ids[lo + row]), pa.array(sums.view(np.int64)), pa.array(own)],
-                    names=["key", "line", "sums", "own"],
-                )
+                row, key, own = line_keys(data, offsets, tau, shortest)
+                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(ids[lo + row]), pa.array(own)], names=["key", "line", "own"])
 
     return lines.mapInArrow(run, KEY_SCHEMA)
 
@@ -118,23 +104,23 @@ def _groups(keys: DataFrame) -> DataFrame:
     """Rows of the keys at which a listed line and another one meet, with the key's number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)  # a shuffle partition of 25-byte rows
+        parts = list(batches)  # a shuffle partition of 17-byte rows
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        key, line, sums = (table.column(c).to_numpy() for c in ("key", "line", "sums"))
+        key, line = (table.column(c).to_numpy() for c in ("key", "line"))
         own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False)
         by = np.lexsort((~own, line, key))
-        key, line, sums, own = key[by], line[by], sums[by], own[by]
+        key, line, own = key[by], line[by], own[by]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-        key, line, sums, own = key[fresh], line[fresh], sums[fresh], own[fresh]
+        key, line, own = key[fresh], line[fresh], own[fresh]
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.diff(np.append(begin, len(key)))
         listed = np.add.reduceat(own.astype(np.int64), begin)
         keep = np.repeat((count > 1) & (listed > 0), count)
         count = np.repeat(count, count)[keep]
-        yield pa.record_batch([pa.array(x[keep]) for x in (key, line, sums, own)] + [pa.array(count.astype(np.int32))], names=["key", "line", "sums", "own", "c"])
+        yield pa.record_batch([pa.array(x[keep]) for x in (key, line, own)] + [pa.array(count.astype(np.int32))], names=["key", "line", "own", "c"])
 
     return keys.repartition("key").mapInArrow(run, GROUP_SCHEMA)
 
@@ -142,57 +128,77 @@ def _groups(keys: DataFrame) -> DataFrame:
 PAIR_SCHEMA = "src long, dst long"
 
 
-def _sums_meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether some sum is equal: lines within TAU edits differ in 2 * TAU of them at most."""
-    out = np.zeros(np.broadcast(a, b).shape, bool)
-    differ = a ^ b
-    for j in range(SUMS):
-        out |= differ & (((1 << _BITS) - 1) << (j * _BITS)) == 0
-    return out
+def count_classes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(rows, CLASSES) bytes: how often each class of characters stands in the text, modulo 256."""
+    cls = (mix64(np.arange(256, dtype=np.uint64) + np.uint64(77)) % np.uint64(CLASSES)).astype(np.int64)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    lead = (data & 0xC0) != 0x80
+    both = np.bincount(row[lead] * CLASSES + cls[data[lead]], minlength=(len(offsets) - 1) * CLASSES)
+    return both.reshape(-1, CLASSES).astype(np.uint8)
 
 
-def candidate_pairs(groups: DataFrame, first: bool) -> DataFrame:
-    """(src < dst): first, each key's lines against its smallest; else, lines of different
-    components at a key.  groups has component for the latter.  Keys with very many lines
-    are split by each of the sums, one of which linked lines share.
+def counted(texts: DataFrame) -> DataFrame:
+    """(line, classes: binary) of texts (line, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in text_chunks(batch.column(1)):
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array([x.tobytes() for x in count_classes(data, offsets)], pa.binary())], names=["line", "classes"])
+
+    return texts.select("line", "text").mapInArrow(run, "line long, classes binary")
+
+
+def _near_counts(a: np.ndarray, b: np.ndarray, tau: int) -> np.ndarray:
+    """Whether the counts of classes allow tau edits: each changes two of them by one at most.
+
+    A difference is taken modulo 256, which can only let more pass.
     """
-    if first:
-        heads = groups.groupBy("key").agg(F.min(F.struct("line", "sums")).alias("head"))
-        pairs = groups.join(heads, "key").where("line <> head.line")
-        meet = None
-        for j in range(SUMS):
-            mask = ((1 << _BITS) - 1) << (j * _BITS)
-            same = F.col("sums").bitwiseXOR(F.col("head.sums")).bitwiseAND(F.lit(mask)) == 0
-            meet = same if meet is None else meet | same
-        return pairs.where(meet).select(F.col("head.line").alias("src"), F.col("line").alias("dst")).distinct()
-
-    def meet_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    gap = (a - b).astype(np.uint8)
+    gap = np.minimum(gap, (256 - gap.astype(np.int16)).astype(np.uint8))
+    return gap.sum(axis=-1, dtype=np.int32) <= 2 * tau
+
+
+def star_pairs(groups: DataFrame) -> DataFrame:
+    """(src < dst): each key's lines with its smallest."""
+    heads = groups.groupBy("key").agg(F.min("line").alias("src"))
+    return groups.join(heads, "key").where("line <> src").select("src", F.col("line").alias("dst")).distinct()
+
+
+def cross_pairs(groups: DataFrame, tau: int) -> DataFrame:
+    """(src < dst): lines of a key in different components whose counts allow tau edits.
+
+    groups: (key, line, own, c, component, classes).  Keys with very many lines are split by
+    each part of the counts, one of which linked lines share.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        key, line, sums, comp = (table.column(c).to_numpy() for c in ("k", "line", "sums", "component"))
+        key, line, comp = (table.column(c).to_numpy() for c in ("k", "line", "component"))
         own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False)
+        classes = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.uint8).reshape(-1, CLASSES)
         by = np.lexsort((comp, key))
-        key, line, sums, comp, own = key[by], line[by], sums[by], comp[by], own[by]
+        key, line, comp, own, classes = key[by], line[by], comp[by], own[by], classes[by]
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)], strict=True):
             if comp[a] == comp[b - 1]:
                 continue
-            for lo in range(a, b, 1024):
-                x = np.arange(lo, min(b, lo + 1024))
-                i, j = np.nonzero((comp[x][:, None] < comp[a:b][None, :]) & (own[x][:, None] | own[a:b][None, :]) & _sums_meet(sums[x][:, None], sums[a:b][None, :]))
-                if len(i):
-                    one, two = line[x[i]], line[a + j]
-                    yield pa.record_batch([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["src", "dst"])
-
-    split = F.transform(
-        F.sequence(F.lit(0), F.lit(SUMS - 1)),
-        lambda j: F.xxhash64("key", j, F.call_function("shiftright", F.col("sums"), j * _BITS).bitwiseAND(F.lit((1 << _BITS) - 1))),
-    )
-    comps = groups.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rows = groups.join(comps, "key").withColumn("k", F.explode(F.when(F.col("c") > HOT_KEY, split).otherwise(F.array("key"))))
-    return rows.select("k", "line", "sums", "own", "component").repartition("k").mapInArrow(meet_at, PAIR_SCHEMA).distinct()
+            for x in range(a, b - 1):
+                # a component's lines stand together: the others come after its last one
+                y = np.arange(max(x + 1, int(np.searchsorted(comp[a:b], comp[x], side="right")) + a), b)
+                if not own[x]:
+                    y = y[own[y]]
+                y = y[_near_counts(classes[y], classes[x], tau)]
+                if len(y):
+                    yield pa.record_batch([pa.array(np.minimum(line[y], line[x])), pa.array(np.maximum(line[y], line[x]))], names=["src", "dst"])
+
+    size = -(-CLASSES // PARTS)
+    split = F.array(*[F.xxhash64("key", F.lit(j), F.substring("classes", j * size + 1, size)) for j in range(PARTS)])
+    mixed = groups.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    rows = groups.join(mixed, "key").withColumn("k", F.explode(F.when(F.col("c") > HOT_KEY, split).otherwise(F.array("key"))))
+    return rows.select("k", "line", "own", "component", "classes").repartition("k").mapInArrow(meet, PAIR_SCHEMA).distinct()
 
 
 def edit_distance_within(a: str, b: str, tau: int) -> int | None:
@@ -271,7 +277,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", tau: i
     rows give no rows.  Columns named n_lines or n_removed give way, others are kept.
     """
     if not 1 <= tau <= TAU:
-        raise ValueError(f"tau is 1 to {TAU}: the sums are made for that")
+        raise ValueError(f"tau is 1 to {TAU}: the parts of the counts are made for that")
     word = WORD_PATTERN[:-1]
     own = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
     base = docs.select(own.alias("doc"), F.xxhash64(text).alias("th"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "text"))
@@ -281,11 +287,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", tau: i
     groups = stored(_groups(_key_rows(base.select("line", "text"), tau, max(shortest, tau + 1))))
     met = groups.select("line").distinct().join(lines, "line").select("line", "at.doc", "at.no", "at.th")
     texts = stored(base.join(met, ["line", "doc", "no", "th"]).groupBy("line").agg(F.min("text").alias("text")))
-    first = stored(candidate_pairs(groups, True))
+    first = stored(star_pairs(groups))
     links = stored(linked_lines(first, texts, tau, ratio))
     found = stored(connected_components(links))
     labelled = groups.join(found, groups["line"] == found["node"], "left").withColumn("component", F.coalesce("component", "line")).drop("node")
-    second = stored(candidate_pairs(labelled, False).join(first, ["src", "dst"], "left_anti"))
+    second = stored(cross_pairs(labelled.join(counted(texts), "line"), tau).join(first, ["src", "dst"], "left_anti"))
     more = linked_lines(second, texts, tau, ratio)
     found = stored(connected_components(links.union(more)))
     # the place that stays for every line that has another place, or another line, in its class
