@@ -178,7 +178,7 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", source:
 
     one = lambda p: F.struct(
         F.lit(p).alias("pass"),
-        F.when(F.col("_passes") > p, F.col("size")).otherwise(F.col("_partial")).alias("words"),
+        F.when(F.col("_passes") > p, F.col("size")).when(F.col("_passes") == p, F.col("_partial")).otherwise(F.lit(0)).cast("long").alias("words"),
         shard(F.lit(p * spec.blocks) + block).alias("shard"),
         F.xxhash64(F.lit(spec.seed + 1 + p), "_hash").alias("order"),
     )
