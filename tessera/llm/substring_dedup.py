@@ -171,6 +171,8 @@ def _repeats_in(contexts: list[bytes], anchor: np.ndarray, doc: np.ndarray, begi
     return row[later], place[later]
 
 
+#: Places count from here for the second text of a doc_id, from twice that for the third.
+VARIANT = 1 << 40
 #: An anchor with more different contexts than this is dealt out by single strings.
 HOT_ANCHOR = 32_768
 RUN_SCHEMA = "h long, c long, doc long, begin long, strings int, lead int, known boolean"
@@ -206,7 +208,7 @@ def _runs_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 
 
 def runs(docs: DataFrame, length: int) -> DataFrame:
-    """RUN_SCHEMA rows of docs (doc, text): each run of strings that share an anchor.
+    """RUN_SCHEMA rows of docs (doc, text, variant): each run of strings that share an anchor.
 
     Of equal runs in one chunk of texts only the first needs the other chunks; the rest are
     repeats, known as such.  Known runs that touch are one row, with a h of their own, so a
@@ -216,6 +218,7 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
+            base = batch.column(2).to_numpy(zero_copy_only=False) * VARIANT
             for lo, _, data, offsets in text_chunks(batch.column(1), PIECE):
                 if len(data) <= PIECE:
                     pieces = [(data, offsets, 0)]
@@ -226,7 +229,7 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
                     row, h, c, begin, count, lead = _runs_of(part, at, length)
                     if not len(row):
                         continue
-                    doc, begin = ids[lo + row], begin - at[row] + shift
+                    doc, begin = ids[lo + row], begin - at[row] + shift + base[lo + row]
                     by = np.lexsort((begin, doc, c, h))
                     same = np.zeros(len(by), bool)
                     same[1:] = (h[by][1:] == h[by][:-1]) & (c[by][1:] == c[by][:-1])
@@ -257,7 +260,7 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
                         names=["h", "c", "doc", "begin", "strings", "lead", "known"],
                     )
 
-    return docs.select("doc", "text").mapInArrow(find, RUN_SCHEMA)
+    return docs.select("doc", "text", "variant").mapInArrow(find, RUN_SCHEMA)
 
 
 SPAN_SCHEMA = "doc long, start long, end long"
@@ -268,7 +271,8 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     Where the anchor is hot each string is a row of its own, with its hash in place of h.
     """
-    rows = wanted.groupBy("doc").agg(F.collect_list(F.struct("h", "begin", "strings", "lead", "hot")).alias("runs"))
+    wanted = wanted.withColumn("variant", F.expr(f"begin div {VARIANT}L"))
+    rows = wanted.groupBy("doc", "variant").agg(F.collect_list(F.struct("h", "begin", "strings", "lead", "hot")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +282,8 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 out = []
                 for want in wants[i].values.to_pylist():
                     begin, strings = want["begin"], want["strings"]
-                    part = body[begin : begin + strings + length - 1]
+                    at = begin % VARIANT
+                    part = body[at : at + strings + length - 1]
                     if want["hot"]:
                         for x in range(strings):
                             one = part[x : x + length]
@@ -291,7 +296,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     names=["h", "doc", "begin", "strings", "lead", "bytes"],
                 )
 
-    return docs.join(rows.hint("merge"), "doc").select("doc", "text", "runs").mapInArrow(cut, "h long, doc long, begin long, strings int, lead int, bytes binary")
+    return docs.join(rows.hint("merge"), ["doc", "variant"]).select("doc", "text", "runs").mapInArrow(cut, "h long, doc long, begin long, strings int, lead int, bytes binary")
 
 
 def sorted_repeats(rows: DataFrame, length: int) -> DataFrame:
@@ -353,8 +358,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
     kept holds what is left (null unless keep_bytes; it need not be valid UTF-8).
 
     Null and empty texts have 0 bytes and lose nothing.  A null doc_id counts as the
-    largest.  Rows with equal doc_id count as one document: between them a string is
-    repeated if it starts at a greater offset; so copies of a row do not remove each other.
+    largest.  Copies of a row, doc_id and text, count as one document and do not remove each
+    other; different texts of one doc_id come one after another, in the order of their MD5.
     A text of any length is hashed in pieces.  No rows give no rows; other columns are not
     read.  length must be over K = 40.
     """
@@ -366,9 +371,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
     # whole copies of an earlier text: every byte goes, and no other text needs them
     slim = base.where(F.octet_length("text") >= length).select("doc", F.md5("text").alias("m"))
     firsts = slim.groupBy("m").agg(F.min("doc").alias("first"), F.count("*").alias("c")).where("c > 1")
-    copies = stored(slim.join(firsts, "m").where("doc <> first").select("doc", "m").distinct())
-    tagged = base.withColumn("m", F.md5("text"))
-    texts = tagged.join(copies.hint("merge"), ["doc", "m"], "left_anti").select("doc", "text")
+    copies = slim.join(firsts, "m").where("doc <> first").select("doc", "m").distinct()
+    # further texts of one doc_id are told apart by number
+    others = base.select("doc", F.md5("text").alias("m")).distinct().withColumn("variant", F.row_number().over(W.partitionBy("doc").orderBy("m")).cast("long") - 1)
+    known = copies.withColumn("copy", F.lit(True)).join(others.where("variant > 0"), ["doc", "m"], "full_outer")
+    known = stored(known.select("doc", "m", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("variant", F.lit(0)).alias("variant")))
+    tagged = base.withColumn("m", F.md5("text")).join(known.hint("merge"), ["doc", "m"], "left")
+    tagged = tagged.withColumns({"copy": F.coalesce("copy", F.lit(False)), "variant": F.coalesce("variant", F.lit(0))})
+    texts = tagged.where(~F.col("copy")).select("doc", "text", "variant")
     by_context = W.partitionBy("h", "c").orderBy("doc", "begin")
     by_anchor = W.partitionBy("h")
     found = (
@@ -382,7 +392,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
     whole = found.where("_later").select("doc", F.col("begin").alias("start"), (F.col("begin") + F.col("strings") + length - 1).alias("end"))
     unclear = found.where("not _later").drop("_later")
     parts = stored(sorted_repeats(contexts(texts, unclear, length), length))
-    spans = whole.union(parts).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # of one document
+    variant = F.expr(f"start div {VARIANT}L")
+    places = [(F.col(k) - variant * VARIANT).alias(k) for k in ("start", "end")]
+    spans = whole.union(parts).groupBy("doc", variant.alias("variant")).agg(F.collect_list(F.struct(*places)).alias("spans"))  # of one document
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,5 +411,5 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
             types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types], names=names)
 
-    marked = tagged.join(copies.withColumn("copy", F.lit(True)).hint("merge"), ["doc", "m"], "left").join(spans.hint("merge"), "doc", "left")
-    return marked.select("doc_id", "text", "spans", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(finish, REST_SCHEMA)
+    marked = tagged.join(spans.hint("merge"), ["doc", "variant"], "left")
+    return marked.select("doc_id", "text", "spans", "copy").mapInArrow(finish, REST_SCHEMA)
