@@ -301,15 +301,15 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", tau: i
     stays = near.join(heads, "component").select("line", "check", "head").union(marked.where("component is null and c > 1").select("line", "check", F.col("at").alias("head")))
     gone = base.select("doc", "th", "no", "line", "check").join(stays, ["line", "check"]).where((F.col("doc") != F.col("head.doc")) | (F.col("no") != F.col("head.no")))
     gone = gone.groupBy("doc", "th").agg(F.collect_set("no").alias("gone"))  # line numbers of one document
-    gone = stored(gone.withColumnsRenamed({"doc": "_doc", "th": "_th", "gone": "_gone"}))
-    out = docs.drop("n_lines", "n_removed").withColumns({"_own": own, "_hash": F.xxhash64(text)})
-    out = out.join(gone, (F.col("_own") == F.col("_doc")) & (F.col("_hash") == F.col("_th")), "left")
-    out = out.withColumn("_lines", F.split(F.col(text), "\n")).withColumn("_gone", F.map_from_entries(F.transform("_gone", lambda x: F.struct(x, F.lit(1)))))
-    kept = F.filter("_lines", lambda x, i: F.element_at("_gone", i).isNull())
+    gone = stored(gone.withColumnsRenamed({"doc": "__doc", "th": "__th", "gone": "__gone"}))
+    out = docs.drop("n_lines", "n_removed").withColumns({"__own": own, "__hash": F.xxhash64(text)})
+    out = out.join(gone, (F.col("__own") == F.col("__doc")) & (F.col("__hash") == F.col("__th")), "left")
+    out = out.withColumn("__lines", F.split(F.col(text), "\n")).withColumn("__gone", F.map_from_entries(F.transform("__gone", lambda x: F.struct(x, F.lit(1)))))
+    kept = F.filter("__lines", lambda x, i: F.element_at("__gone", i).isNull())
     return out.withColumns(
         {
-            text: F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text)),
-            "n_lines": F.coalesce(F.size(F.filter("_lines", lambda x: x.rlike(word))), F.lit(0)).cast("long"),
-            "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+            text: F.when(F.col("__gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text)),
+            "n_lines": F.coalesce(F.size(F.filter("__lines", lambda x: x.rlike(word))), F.lit(0)).cast("long"),
+            "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
         }
-    ).drop("_own", "_hash", "_doc", "_th", "_gone", "_lines")
+    ).drop("__own", "__hash", "__doc", "__th", "__gone", "__lines")

@@ -83,54 +83,54 @@ def _row_hash(keys: list[str], seed: int) -> Column:
 
 
 def sized(docs: DataFrame, spec: MixSpec, text: str, source: str, key: str) -> DataFrame:
-    """docs with _source, size, _hash (the document's place in the source's random order)."""
-    df = docs.withColumns({"_source": F.col(source).cast("string"), "size": word_count(F.col(text)), "_text_hash": F.xxhash64(text)})
-    return df.withColumn("_hash", _row_hash([key, "_text_hash"], spec.seed)).drop("_text_hash")
+    """docs with __source, size, __hash (the document's place in the source's random order)."""
+    df = docs.withColumns({"__source": F.col(source).cast("string"), "size": word_count(F.col(text)), "__text_hash": F.xxhash64(text)})
+    return df.withColumn("__hash", _row_hash([key, "__text_hash"], spec.seed)).drop("__text_hash")
 
 
-def _block(spec: MixSpec) -> Column:
-    return F.pmod(F.col("_hash"), F.lit(spec.blocks))
+def __block(spec: MixSpec) -> Column:
+    return F.pmod(F.col("__hash"), F.lit(spec.blocks))
 
 
 def plan_sources(slim: DataFrame, spec: MixSpec) -> DataFrame:
     """One row per source: its quota, where its last block is cut, and its path counts.
 
-    slim: (_source, _hash, size).  The documents of one block per source are ordered, no
+    slim: (__source, __hash, size).  The documents of one block per source are ordered, no
     others; block sums are pre-aggregated before the shuffle.
     """
     spark = slim.sparkSession
-    sums = slim.groupBy("_source").agg(F.sum("size").alias("size")).limit(spec.max_sources + 1).collect()
+    sums = slim.groupBy("__source").agg(F.sum("size").alias("size")).limit(spec.max_sources + 1).collect()
     if len(sums) > spec.max_sources:
         raise ValueError(f"more than {spec.max_sources} sources; raise max_sources if the driver can hold them")
-    sums.sort(key=lambda r: (r["_source"] is None, (r["_source"] or "").encode()))
+    sums.sort(key=lambda r: (r["__source"] is None, (r["__source"] or "").encode()))
     goal = targets([r["size"] for r in sums], spec)
     rows = []
     for i, (r, t) in enumerate(zip(sums, goal, strict=True)):
         take, size = round(t), r["size"]
         passes = min(take // size, int(spec.most)) if size else 0
-        rows.append((i, r["_source"], size, float(t), int(passes), int(take - passes * size)))
-    source_rows = spark.createDataFrame(rows, "_i int, _source string, source_size long, target double, _passes int, _part long")
-    by_source = slim.join(_small(source_rows, len(rows)), slim["_source"].eqNullSafe(source_rows["_source"])).drop("_source")
+        rows.append((i, r["__source"], size, float(t), int(passes), int(take - passes * size)))
+    source_rows = spark.createDataFrame(rows, "__i int, __source string, source_size long, target double, __passes int, __part long")
+    by_source = slim.join(_small(source_rows, len(rows)), slim["__source"].eqNullSafe(source_rows["__source"])).drop("__source")
     # the block in which the last pass ends, by cumulative sums over the source's blocks
-    blocks = by_source.withColumn("_block", _block(spec)).groupBy("_i", "_part", "_block").agg(F.sum("size").alias("w"))
-    run = W.partitionBy("_i").orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
-    ends = blocks.where("_part > 0").withColumn("_sum", F.sum("w").over(run)).where((F.col("_sum") > F.col("_part")) & (F.col("_sum") - F.col("w") <= F.col("_part")))
-    ends = ends.select("_i", F.col("_block").alias("_last"), (F.col("_part") - F.col("_sum") + F.col("w")).alias("_rest"))
-    last = {r["_i"]: (r["_last"], r["_rest"]) for r in ends.collect()}
+    blocks = by_source.withColumn("__block", __block(spec)).groupBy("__i", "__part", "__block").agg(F.sum("size").alias("w"))
+    run = W.partitionBy("__i").orderBy("__block").rowsBetween(W.unboundedPreceding, 0)
+    ends = blocks.where("__part > 0").withColumn("__sum", F.sum("w").over(run)).where((F.col("__sum") > F.col("__part")) & (F.col("__sum") - F.col("w") <= F.col("__part")))
+    ends = ends.select("__i", F.col("__block").alias("__last"), (F.col("__part") - F.col("__sum") + F.col("w")).alias("__rest"))
+    last = {r["__i"]: (r["__last"], r["__rest"]) for r in ends.collect()}
     # the document in which it ends, among those of that block
-    end_rows = spark.createDataFrame([(i, *x) for i, x in last.items()], "_i int, _last long, _rest long")
-    inside = by_source.join(_small(end_rows, len(last)), "_i").where(_block(spec) == F.col("_last"))
-    inside = inside.groupBy("_i", "_rest", "_hash").agg(F.sum("size").alias("w"), F.count("*").alias("n"))
-    run = W.partitionBy("_i").orderBy("_hash").rowsBetween(W.unboundedPreceding, 0)
-    cuts = inside.withColumn("_sum", F.sum("w").over(run)).where((F.col("_sum") > F.col("_rest")) & (F.col("_sum") - F.col("w") <= F.col("_rest")))
-    cut = {r["_i"]: (r["_hash"], r["_cut"]) for r in cuts.select("_i", "_hash", F.expr("(_rest - _sum + w) div n").alias("_cut")).collect()}
+    end_rows = spark.createDataFrame([(i, *x) for i, x in last.items()], "__i int, __last long, __rest long")
+    inside = by_source.join(_small(end_rows, len(last)), "__i").where(__block(spec) == F.col("__last"))
+    inside = inside.groupBy("__i", "__rest", "__hash").agg(F.sum("size").alias("w"), F.count("*").alias("n"))
+    run = W.partitionBy("__i").orderBy("__hash").rowsBetween(W.unboundedPreceding, 0)
+    cuts = inside.withColumn("__sum", F.sum("w").over(run)).where((F.col("__sum") > F.col("__rest")) & (F.col("__sum") - F.col("w") <= F.col("__rest")))
+    cut = {r["__i"]: (r["__hash"], r["__cut"]) for r in cuts.select("__i", "__hash", F.expr("(__rest - __sum + w) div n").alias("__cut")).collect()}
     counts = [p * spec.blocks + (last[i][0] + 1 if i in last else 0) for i, _, _, _, p, _ in rows]
     tree = splitting_tree(np.asarray(counts, dtype=np.int64), spec.shards, spec.seed)
     full = [
         (i, s, size, t, p, *(last[i][:1] if i in last else (-1,)), *cut.get(i, (None, 0)), tree[i].tolist())
         for i, s, size, t, p, _ in rows
     ]
-    schema = "_i int, _source string, source_size long, target double, _passes int, _last long, _cut_hash long, _cut long, _left array<long>"
+    schema = "__i int, __source string, source_size long, target double, __passes int, __last long, __cut_hash long, __cut long, __left array<long>"
     return spark.createDataFrame(full, schema)
 
 
@@ -153,37 +153,37 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", source:
     """
     docs = docs.drop("size", "source_size", "target", "taken", "copies")
     df = sized(docs, spec, text, source, key)
-    slim = stored(sized(docs.select(*dict.fromkeys([key, text, source])), spec, text, source, key).select("_source", "_hash", "size"))
+    slim = stored(sized(docs.select(*dict.fromkeys([key, text, source])), spec, text, source, key).select("__source", "__hash", "size"))
     plan = plan_sources(slim, spec)
-    df = df.join(_small(plan, plan.count()), df["_source"].eqNullSafe(plan["_source"]), "left").drop(plan["_source"])
-    block = _block(spec)
+    df = df.join(_small(plan, plan.count()), df["__source"].eqNullSafe(plan["__source"]), "left").drop(plan["__source"])
+    block = __block(spec)
     partial = (
-        F.when(block < F.col("_last"), F.col("size"))
-        .when((block == F.col("_last")) & (F.col("_hash") < F.col("_cut_hash")), F.col("size"))
-        .when((block == F.col("_last")) & (F.col("_hash") == F.col("_cut_hash")), F.least("size", "_cut"))
+        F.when(block < F.col("__last"), F.col("size"))
+        .when((block == F.col("__last")) & (F.col("__hash") < F.col("__cut_hash")), F.col("size"))
+        .when((block == F.col("__last")) & (F.col("__hash") == F.col("__cut_hash")), F.least("size", "__cut"))
         .otherwise(F.lit(0))
     )
-    df = df.withColumn("_partial", F.coalesce(partial, F.lit(0)).cast("long"))
-    df = df.withColumn("taken", F.col("_passes") * F.col("size") + F.col("_partial"))
+    df = df.withColumn("__partial", F.coalesce(partial, F.lit(0)).cast("long"))
+    df = df.withColumn("taken", F.col("__passes") * F.col("size") + F.col("__partial"))
     depth = spec.shards.bit_length() - 1
 
     def shard(number: Column) -> Column:
         """Walk the tree: a block numbered below the node's left count goes left."""
         step = lambda s, _: F.struct(
-            F.when(s["t"] < F.get(F.col("_left"), s["n"]), 2 * s["n"]).otherwise(2 * s["n"] + 1).cast("int").alias("n"),
-            F.when(s["t"] < F.get(F.col("_left"), s["n"]), s["t"]).otherwise(s["t"] - F.get(F.col("_left"), s["n"])).alias("t"),
+            F.when(s["t"] < F.get(F.col("__left"), s["n"]), 2 * s["n"]).otherwise(2 * s["n"] + 1).cast("int").alias("n"),
+            F.when(s["t"] < F.get(F.col("__left"), s["n"]), s["t"]).otherwise(s["t"] - F.get(F.col("__left"), s["n"])).alias("t"),
         )
         start = F.struct(F.lit(1).cast("int").alias("n"), number.cast("long").alias("t"))
         return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step, lambda s: s["n"] - F.lit(spec.shards)) if depth else F.lit(0)
 
     one = lambda p: F.struct(
         F.lit(p).alias("pass"),
-        F.when(F.col("_passes") > p, F.col("size")).when(F.col("_passes") == p, F.col("_partial")).otherwise(F.lit(0)).cast("long").alias("words"),
+        F.when(F.col("__passes") > p, F.col("size")).when(F.col("__passes") == p, F.col("__partial")).otherwise(F.lit(0)).cast("long").alias("words"),
         shard(F.lit(p * spec.blocks) + block).alias("shard"),
-        F.xxhash64(F.lit(spec.seed + 1 + p), "_hash").alias("order"),
+        F.xxhash64(F.lit(spec.seed + 1 + p), "__hash").alias("order"),
     )
     copies = F.filter(F.array(*[one(p) for p in range(int(spec.most) + 1)]), lambda c: c["words"] > 0)
-    inner = ["_source", "_hash", "_i", "_passes", "_last", "_cut_hash", "_cut", "_left", "_partial"]
+    inner = ["__source", "__hash", "__i", "__passes", "__last", "__cut_hash", "__cut", "__left", "__partial"]
     return df.withColumn("copies", copies).drop(*inner)
 
 
@@ -192,12 +192,12 @@ def materialise(mixed: DataFrame, text: str = "text") -> DataFrame:
     after its last word that is taken.  shard and order give each shard's local shuffle.
     """
     own = ["size", "source_size", "target", "taken", "copies"]
-    df = mixed.withColumn("_copy", F.explode("copies")).drop("pass", "shard", "order")
+    df = mixed.withColumn("__copy", F.explode("copies")).drop("pass", "shard", "order")
     # each piece is a word and the white space before it, so what is kept is a whole start
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"{SPACE_CLASS}*{WORD_PATTERN}"), F.lit(0))
-    head = F.array_join(F.slice(pieces, 1, F.col("_copy.words").cast("int")), "")
-    df = df.withColumn(text, F.when(F.col("_copy.words") < F.col("size"), head).otherwise(F.col(text)))
-    return df.withColumns({"pass": F.col("_copy.pass"), "shard": F.col("_copy.shard"), "order": F.col("_copy.order")}).drop("_copy", *own)
+    head = F.array_join(F.slice(pieces, 1, F.col("__copy.words").cast("int")), "")
+    df = df.withColumn(text, F.when(F.col("__copy.words") < F.col("size"), head).otherwise(F.col(text)))
+    return df.withColumns({"pass": F.col("__copy.pass"), "shard": F.col("__copy.shard"), "order": F.col("__copy.order")}).drop("__copy", *own)
 
 
 def write_shards(mixed: DataFrame, path: str, text: str = "text") -> None:

@@ -23,33 +23,33 @@ START_ACCURACY, PRIOR_WEIGHT = 0.95, 1.0
 
 
 def repeated_words(df: DataFrame) -> DataFrame:
-    """Add n_repeat_words from _words: how many words stand in a three-word window that
+    """Add n_repeat_words from __words: how many words stand in a three-word window that
     the text has twice or more.  Windows are compared by 64-bit hash; only texts in
     which some hash recurs are sorted.
     """
-    n = F.size("_words")
+    n = F.size("__words")
     df = df.withColumn(
-        "_grams",
+        "__grams",
         F.when(
             n >= 3,
             F.transform(
                 F.sequence(F.lit(0), n - 3),
-                lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)),
+                lambda i: F.xxhash64(F.get("__words", i), F.get("__words", i + 1), F.get("__words", i + 2)),
             ),
         ),
     )
-    df = df.withColumn("_recurs", F.size(F.array_distinct("_grams")) < F.size("_grams"))
+    df = df.withColumn("__recurs", F.size(F.array_distinct("__grams")) < F.size("__grams"))
     df = df.withColumn(
-        "_sorted",
-        F.when(F.col("_recurs"), F.sort_array(F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))),
+        "__sorted",
+        F.when(F.col("__recurs"), F.sort_array(F.transform("__grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))),
     )
-    same = lambda x, k: (F.get("_sorted", k).getField("h") == x.getField("h"))
+    same = lambda x, k: (F.get("__sorted", k).getField("h") == x.getField("h"))
     repeats = F.filter(
-        "_sorted", lambda x, k: F.coalesce(same(x, k + 1), F.lit(False)) | F.coalesce((k > 0) & same(x, k - 1), F.lit(False))
+        "__sorted", lambda x, k: F.coalesce(same(x, k + 1), F.lit(False)) | F.coalesce((k > 0) & same(x, k - 1), F.lit(False))
     )
     at = F.transform(repeats, lambda x: F.array(x.getField("i"), x.getField("i") + 1, x.getField("i") + 2))
-    df = df.withColumn("n_repeat_words", F.when(F.col("_recurs"), F.size(F.array_distinct(F.flatten(at)))).otherwise(0).cast("long"))
-    return df.drop("_grams", "_recurs", "_sorted")
+    df = df.withColumn("n_repeat_words", F.when(F.col("__recurs"), F.size(F.array_distinct(F.flatten(at)))).otherwise(0).cast("long"))
+    return df.drop("__grams", "__recurs", "__sorted")
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -58,22 +58,22 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A null text counts as empty.  Lines are split at \\n and count if they hold a word.
     """
-    body = F.coalesce(F.col("_text"), F.lit(""))
+    body = F.coalesce(F.col("__text"), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD_PATTERN[:-1]))
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_upper", "n_marks"]
-    df = docs.drop(*own).withColumn("_text", F.col(text)).withColumn("_words", words(F.col("_text")))
-    df = df.withColumn("_lines", lines).withColumns(
+    df = docs.drop(*own).withColumn("__text", F.col(text)).withColumn("__words", words(F.col("__text")))
+    df = df.withColumn("__lines", lines).withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "n_words": F.size("__words").cast("long"),
+            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
             "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
             "n_upper": F.regexp_count(body, F.lit("[A-Z]")).cast("long"),
             "n_marks": F.regexp_count(body, F.lit("[!?]")).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_lines": F.size("__lines").cast("long"),
+            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         }
     )
-    df = repeated_words(df).drop("_words", "_lines", "_text")
+    df = repeated_words(df).drop("__words", "__lines", "__text")
     # a row number is never negative: asking for it keeps the optimizer from copying the expressions above into
     # a later filter, where an array would be made again for each of its elements
     barrier = F.monotonically_increasing_id() >= 0
@@ -172,7 +172,7 @@ def quality_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5) -
     )
     # a scalar subquery: one row by construction
     found = model.scalar()
-    out = features(docs, text).drop("votes", "good_probability", "kept", "_model")
-    out = out.withColumn("votes", F.array(*names.values())).withColumn("_model", found)
-    out = out.withColumn("good_probability", 1 - bad_chance(F.col("votes"), F.col("_model"))).drop("_model")
+    out = features(docs, text).drop("votes", "good_probability", "kept", "__model")
+    out = out.withColumn("votes", F.array(*names.values())).withColumn("__model", found)
+    out = out.withColumn("good_probability", 1 - bad_chance(F.col("votes"), F.col("__model"))).drop("__model")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("good_probability") >= threshold))
