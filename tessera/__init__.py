@@ -1 +1,8 @@
 """Tessera: entity resolution, profiling and corpus preparation on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel to the executors by value, so that these need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
