@@ -15,7 +15,6 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,6 @@ class NearSpec:
     percent: int = 80
 
 
-@lru_cache
 def least_shared(k: int, share: float, miss: float = MISS) -> int:
     """The largest s so that fewer than s of k draws of chance share have a chance of at most miss."""
     total = 0.0
@@ -150,13 +148,16 @@ def shared_counts(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _estimate(a: np.ndarray, b: np.ndarray, share: float) -> bool:
-    """Whether the union's sketch, made of both sketches, allows a resemblance of share."""
+def _estimate(a: np.ndarray, b: np.ndarray, share: float, floor: int) -> bool:
+    """Whether the union's sketch, made of both sketches, allows a resemblance of share.
+
+    floor: how many values a whole sketch must share, least_shared().
+    """
     both = np.sort(np.concatenate([a, b]))
     twice = both[1:] == both[:-1]
     union = both[np.append(True, ~twice)][:SKETCH]
     shared = int(np.searchsorted(both[1:][twice], union[-1], side="right"))
-    need = math.ceil(share * len(union) - 1e-9) if len(union) < SKETCH else least_shared(SKETCH, share)
+    need = math.ceil(share * len(union) - 1e-9) if len(union) < SKETCH else floor
     return shared >= need
 
 
@@ -208,6 +209,8 @@ KEYS = ["leader", "one", "two"]
 def plausible(groups: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
     """The (leader, node) of groups that have a partner there by the sketches of the unions."""
 
+    floor = least_shared(SKETCH, share)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_group(batches, KEYS):
             node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
@@ -216,7 +219,7 @@ def plausible(groups: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
             used = np.bincount(row, minlength=len(node))
             shared = shared_counts(np.concatenate(sketches), row, len(node))
             # a bound: what both sketches share is at least what the sketch of the union does
-            low = np.minimum(np.ceil(share * used - 1e-9), least_shared(SKETCH, share))
+            low = np.minimum(np.ceil(share * used - 1e-9), floor)
             fits = np.minimum(size[:, None], size[None]) >= share * np.maximum(size[:, None], size[None])
             close = fits & (shared >= np.maximum(low[:, None], low[None]))
             np.fill_diagonal(close, False)
@@ -224,7 +227,7 @@ def plausible(groups: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
             for i in range(len(node)):
                 if not keep[i]:
                     for j in np.flatnonzero(close[i]).tolist():
-                        if _estimate(sketches[i], sketches[j], share):
+                        if _estimate(sketches[i], sketches[j], share, floor):
                             keep[i] = keep[j] = True
                             break
             yield pa.record_batch([table.column("leader").combine_chunks().filter(pa.array(keep)), pa.array(node[keep])], names=["leader", "node"])

@@ -168,10 +168,12 @@ class QualityModel:
     bias: float
     spec: ClassifierSpec
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        row, feature, value = hashed_features(data, offsets, self.spec.bits)
-        z = np.bincount(row, self.weights[feature] * value, len(offsets) - 1) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+def linear_score(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, bias: float, bits: int) -> np.ndarray:
+    """The scorer's chance of good for each text of a chunk."""
+    row, feature, value = hashed_features(data, offsets, bits)
+    z = np.bincount(row, weights[feature] * value, len(offsets) - 1) + bias
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def train(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str = "text") -> QualityModel:
@@ -240,21 +242,22 @@ def classify(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str
     """
     spark = docs.sparkSession
     model = model or train(docs, spec, text)
-    shared = spark.sparkContext.broadcast(model)  # 2 ** bits weights
+    shared = spark.sparkContext.broadcast((model.weights, model.patterns))  # 2 ** bits weights, 3 ** 9 patterns at most
+    bias, bits, threshold = model.bias, model.spec.bits, model.spec.threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        weights, patterns = shared.value
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 votes = vote_chunk(data, offsets)
-                score = m.score(data, offsets)
+                score = linear_score(data, offsets, weights, bias, bits)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(lo, hi - lo),
                         pa.array((votes != ABSTAIN).sum(1).astype(np.int32)),
-                        pa.array([m.patterns.get(v.tobytes(), 0.5) for v in votes]),
+                        pa.array([patterns.get(v.tobytes(), 0.5) for v in votes]),
                         pa.array(score),
-                        pa.array(score >= m.spec.threshold),
+                        pa.array(score >= threshold),
                     ],
                     names=["doc_id", "n_votes", "weak_good", "score", "kept"],
                 )

@@ -91,4 +91,5 @@ def test_near_duplicates_null_ids(spark):
 def test_thresholds_are_safe():
     assert nd.least_shared(32, 0.85) == 15 and nd.least_shared(128, 0.8) < 0.8 * 128
     a, b = (np.arange(k, k + 128, dtype=np.uint32) for k in (0, 10))
-    assert nd._estimate(a, b, 0.8) and not nd._estimate(a, np.arange(100, 228, dtype=np.uint32), 0.8)
+    floor = nd.least_shared(128, 0.8)
+    assert nd._estimate(a, b, 0.8, floor) and not nd._estimate(a, np.arange(100, 228, dtype=np.uint32), 0.8, floor)
