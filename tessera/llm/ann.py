@@ -25,17 +25,17 @@ from tessera.llm.common import stored
 class AnnSpec:
     """k results per query; sample: vectors that fit the codebooks at most (all vectors are
     indexed); dims: dimensions per subspace; threshold: inner products of unit vectors
-    from which errors matter; rerank: candidates per query of which the exact products are
-    taken; query_block and row_block: queries and rows that one task scans.
+    from which errors matter; rerank: candidates per query and block of rows of which the
+    exact products are taken; query_block and row_block: queries and rows that one task scans.
     """
 
     k: int = 20
     sample: int = 16_384
-    dims: int = 2
+    dims: int = 1
     threshold: float = 0.2
     rounds: int = 8
-    rerank: int = 160
-    query_block: int = 512
+    rerank: int = 2_048
+    query_block: int = 1_024
     row_block: int = 65_536
     seed: int = 11
 
@@ -118,26 +118,44 @@ def train(x: np.ndarray, spec: AnnSpec) -> Codebook:
     return Codebook(book.centres, weight)
 
 
-def scan(book: Codebook, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, codes: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of each query's keep best codes but its own; ties to smaller ids."""
+def pack_codes(codes: np.ndarray) -> np.ndarray:
+    """Two codes per byte, the first in the low half; an odd last one stands alone."""
+    if codes.shape[1] % 2:
+        codes = np.hstack([codes, np.zeros((len(codes), 1), np.uint8)])
+    return codes[:, ::2] | codes[:, 1::2] << 4
+
+
+def scan(
+    book: Codebook, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, packed: np.ndarray, vectors: np.ndarray, rerank: int, keep: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(query row, id) of each query's keep nearest but itself, ties to smaller ids.
+
+    All codes are scored: the tables of two subspaces make one of 256 sums, looked up by a
+    byte of the codes.  The rerank best of them are ranked by their exact products.
+    """
     tables = book.tables(queries).astype(np.float32)
-    out_q, out_id, out_score = [], [], []
+    if tables.shape[1] % 2:
+        tables = np.concatenate([tables, np.zeros((len(tables), 1, 16), np.float32)], 1)
+    pairs = (tables[:, 1::2, :, None] + tables[:, ::2, None, :]).reshape(len(queries), -1, 256)
+    out_q, out_id = [], []
     by = np.argsort(ids, kind="stable")
-    ids, codes = ids[by], codes[by]
+    ids, vectors, columns = ids[by], vectors[by], np.ascontiguousarray(packed[by].T)
     for q in range(len(queries)):
         scores = np.zeros(len(ids), np.float32)
-        for j in range(codes.shape[1]):
-            scores += tables[q, j][codes[:, j]]
+        for j, column in enumerate(columns):
+            scores += pairs[q, j].take(column)
         scores[ids == own[q]] = -np.inf
-        k = min(keep, len(ids))
+        k = min(rerank, len(ids))
         edge = np.partition(scores, len(ids) - k)[len(ids) - k]
         best = np.flatnonzero(scores > edge)
         best = np.concatenate([best, np.flatnonzero(scores == edge)[: k - len(best)]])
-        best = best[scores[best] > -np.inf]
+        best = np.sort(best[scores[best] > -np.inf])
+        # row by row, so that equal vectors have equal products; the order by id breaks ties
+        exact = (vectors[best] * queries[q]).sum(1)
+        best = best[np.argsort(-exact, kind="stable")[:keep]]
         out_q.append(np.full(len(best), q))
         out_id.append(ids[best])
-        out_score.append(scores[best])
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score)
+    return np.concatenate(out_q), np.concatenate(out_id)
 
 
 def valid_vectors(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -165,8 +183,7 @@ def search(
 
     is_query selects the queries (all rows where key % 20 = 0 by default).  Every row is
     coded and every code is scanned for every query, in blocks: the work is queries times
-    rows by nature, the data that moves is 4 bits per subspace and row for each block of
-    queries.  The codebooks are fitted on the sample with the smallest hashes.
+    rows by nature, and a row moves once for each block of queries.  The codebooks are fitted on the sample with the smallest hashes.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite
     components take no part, nor do rows with a null key.  Fewer other rows than k: all of
@@ -183,45 +200,39 @@ def search(
         return spark.createDataFrame([], schema)
     book = train(np.stack(sample["v"].to_numpy()), spec)
 
+    n = good.count()
+    queries = stored(good.where(asked).groupBy("id").agg(F.min("v").alias("v")))
+    asks = queries.count()
+    query_blocks, row_blocks = max(1, -(-asks // spec.query_block)), max(1, -(-n // spec.row_block))
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2_048):
                 part = batch.slice(lo, 2_048)
                 x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
-                codes = book.encode(x)
-                if codes.shape[1] % 2:
-                    codes = np.hstack([codes, np.zeros((len(codes), 1), np.uint8)])
-                packed = codes[:, ::2] | codes[:, 1::2] << 4
-                yield pa.record_batch([part.column(0), pa.array([r.tobytes() for r in packed], pa.binary())], names=["id", "code"])
+                packed = pack_codes(book.encode(x))
+                ids = part.column(0).to_numpy()
+                yield pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in (ids, packed, np.ascontiguousarray(x, np.float64))], names=["ids", "codes", "vectors"])
 
-    n = good.count()
-    coded = good.select("id", "v").mapInArrow(encode, "id long, code binary")
-    queries = stored(good.where(asked).groupBy("id").agg(F.min("v").alias("v")))
-    asks = queries.count()
-    query_blocks, row_blocks = max(1, -(-asks // spec.query_block)), max(1, -(-n // spec.row_block))
-    block = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    q = queries.select(block(query_blocks).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("rb"), "id", "v")
-    # the rows of a block as one: ids and codes back to back, so that a copy per block of queries is cheap
-    rows = coded.groupBy(block(row_blocks).alias("rb"), F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(16)).alias("part")).agg(F.collect_list(F.struct("id", "code")).alias("rows"))
+    # ids, codes and vectors of some thousand rows as one, so that a copy per block of queries is cheap
+    rows = good.select("id", "v").mapInArrow(encode, "ids binary, codes binary, vectors binary")
+    rows = rows.withColumn("rb", F.pmod(F.xxhash64("ids"), F.lit(row_blocks)).cast("int"))
     rows = rows.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    block = F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")
+    q = queries.select(block.alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("rb"), "id", "v")
 
-    def best(cell: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "rough"]
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in columns})
-        packed = np.concatenate([np.frombuffer(b"".join(r["code"] for r in part), np.uint8) for part in right["rows"]]).reshape(-1, -(-len(book.centres) // 2))
-        ids = np.asarray([r["id"] for part in right["rows"] for r in part], dtype=np.int64)
-        codes = np.empty((len(packed), packed.shape[1] * 2), np.uint8)
-        codes[:, ::2], codes[:, 1::2] = packed & 15, packed >> 4
+            return pd.DataFrame({"query_id": [], "vec_id": []}, dtype="int64")
+        ids, codes, vectors = (b"".join(right[c]) for c in ("ids", "codes", "vectors"))
+        ids = np.frombuffer(ids, np.int64)
         own = left["id"].to_numpy()
-        row, vec, score = scan(book, np.stack(left["v"].to_numpy()), own, ids, codes[:, : len(book.centres)], spec.rerank)
-        return pd.DataFrame({"query_id": own[row], "vec_id": vec, "rough": score.astype(float)})
-
-    found = q.groupBy("qb", "rb").cogroup(rows.groupBy("qb", "rb")).applyInPandas(best, "query_id long, vec_id long, rough double")
-    if row_blocks > 1:
-        top = W.partitionBy("query_id").orderBy(F.desc("rough"), "vec_id")
-        found = found.withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= spec.rerank)
-    found = found.select("query_id", "vec_id").distinct()
+        row, vec = scan(
+            book, np.stack(left["v"].to_numpy()), own, ids, np.frombuffer(codes, np.uint8).reshape(len(ids), -1), np.frombuffer(vectors, np.float64).reshape(len(ids), -1), spec.rerank, 2 * spec.k
+        )
+        return pd.DataFrame({"query_id": own[row], "vec_id": vec})
+
+    found = q.groupBy("qb", "rb").cogroup(rows.groupBy("qb", "rb")).applyInPandas(best, "query_id long, vec_id long").distinct()
     exact = found.join(good.select(F.col("id").alias("vec_id"), F.col("v").alias("w")), "vec_id")
     exact = exact.join(queries.select(F.col("id").alias("query_id"), "v"), "query_id").select("query_id", "vec_id", inner_product(F.col("v"), F.col("w")).alias("score"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
