@@ -84,10 +84,50 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+RULES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), g AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+often AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS p FROM often) GROUP BY 1),
+f AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(regexp_extract_all(t, '[A-Z]')) AS BIGINT) AS up,
+    CAST(len(regexp_extract_all(t, '[!?]')) AS BIGINT) AS marks, len(l) AS lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN rep USING (doc_id)
+), v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [
+    CASE WHEN 10 * n_symbols > n_words THEN 0 ELSE -1 END, CASE WHEN 10 * up > 4 * word_chars THEN 0 ELSE -1 END, CASE WHEN 10 * marks > 2 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN 10 * n_dup_lines > 3 * lines THEN 0 ELSE -1 END, CASE WHEN 10 * n_repeat_words > 4 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN 100 * n_symbols <= 2 * n_words AND 10 * up <= 2 * word_chars AND 20 * marks <= n_words AND 10 * n_dup_lines <= 4 * lines AND 20 * n_repeat_words <= 9 * n_words THEN 1 ELSE -1 END
+  ] AS votes FROM f
+), pats AS (SELECT votes, count(*)::DOUBLE AS n FROM v GROUP BY votes), r AS (SELECT list({'v': votes, 'n': n} ORDER BY votes) AS pats FROM pats),
+em(k, a) AS (
+  SELECT 0, list_transform(range(7), lambda i: 0.95::DOUBLE)
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, 8), lambda j: coalesce((
+      list_sum(list_transform(q, lambda x: CASE x.v[j] WHEN 0 THEN x.n * x.q WHEN 1 THEN x.n * (1 - x.q) ELSE 0 END))
+      / nullif(list_sum(list_transform(q, lambda x: CASE WHEN x.v[j] <> -1 THEN x.n ELSE 0 END)), 0) + 0.95) / 2, 0.95))
+  FROM (
+    SELECT k, list_transform(pats, lambda x: {'v': x.v, 'n': x.n, 'q': 1 / (1 + exp(-list_sum(list_transform(range(1, 8), lambda i:
+      CASE x.v[i] WHEN 0 THEN ln(a[i] / (1 - a[i])) WHEN 1 THEN ln((1 - a[i]) / a[i]) ELSE 0 END))))}) AS q
+    FROM em, r WHERE k < 25
+  )
+), model AS (SELECT a FROM em WHERE k = 25),
+p AS (
+  SELECT v.*, 1 - 1 / (1 + exp(-list_sum(list_transform(range(1, 8), lambda i: CASE votes[i] WHEN 0 THEN ln(a[i] / (1 - a[i])) WHEN 1 THEN ln((1 - a[i]) / a[i]) ELSE 0 END)))) AS good FROM v, model
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good >= 0.5 AS kept, array_to_string(votes, ',') AS votes, round(good, 6) AS good_probability FROM p
+"""
+
 ORACLES = {
     "op1_warc": WARC,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
     "op6_near_dedup": NEAR,
+    "op7_quality_rules": RULES,
     "op9_ann": ANN,
 }
