@@ -30,3 +30,16 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables in the shared folder; results that still read them are lost.
+
+    Returns how many there were.  For the end of an application, or a folder of its own.
+    """
+    base = scratch_dir(spark).rpartition("/")[0]
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{base}/tessera-*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in fs.globStatus(pattern) or []]
+    return sum(bool(fs.delete(p, True)) for p in found)
