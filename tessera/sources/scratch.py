@@ -20,14 +20,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, waves: int | None = None) -> DataFrame:
     """The frame, written as Parquet to the shared folder and read back.
 
+    waves: at most this many files per core, for results that are small for their number of
+    partitions; the partitions are then read one after another, nothing is shuffled.
+
     Cuts the lineage: a lost executor costs a read, not a recomputation, and what
     follows sees one result even where a retried task would make another.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
+    if waves:
+        df = df.coalesce(waves * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
