@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from tessera.sources.scratch import stored
 
 
-#: Files per core of a round's edges: there are many rounds, and the last ones are small.
-WAVES = 4
-
-
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """One step over (u, v): every u links its neighbours to the smallest node around it.
 
@@ -38,11 +34,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     edges are stored, so a lost executor costs no recomputation.
     """
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    both = stored(both, WAVES)
+    both = stored(both)
     now = both.where("u <> v").distinct()
     mark = None
     for _ in range(max_rounds):
-        now = stored(_star(_star(now, True), False), WAVES)
+        now = stored(_star(_star(now, True), False))
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

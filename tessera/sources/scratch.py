@@ -20,19 +20,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, waves: int | None = None) -> DataFrame:
-    """The frame, written as Parquet to the shared folder and read back.
+#: Files of a scratch table per core at most.
+WAVES = 4
+
 
-    waves: at most this many files per core, for results that are small for their number of
-    partitions; the partitions are then read one after another, nothing is shuffled.
+def stored(df: DataFrame) -> DataFrame:
+    """The frame, written as Parquet to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a read, not a recomputation, and what
     follows sees one result even where a retried task would make another.
+
+    A table has WAVES files per core at most: small results with many partitions would else
+    be thousands of tiny files.  Partitions are then read one after another, nothing is
+    shuffled.  With dynamic allocation the cores are not known, so all files are written.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
-    if waves:
-        df = df.coalesce(waves * spark.sparkContext.defaultParallelism)
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
+        df = df.coalesce(WAVES * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
