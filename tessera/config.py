@@ -25,7 +25,7 @@ class Columns:
 
 @dataclass(frozen=True)
 class Settings:
-    data: str = "data/student_relations.parquet"
+    data: str = "data/relations.parquet"
     work: str = "work"
     index: str | None = None
     columns: Columns = field(default_factory=Columns)
