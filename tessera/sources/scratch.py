@@ -20,8 +20,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
 
 
-#: Files of a scratch table per core at most.
-WAVES = 4
+#: Files of a scratch table at most: this many per core, or one for as many shuffle partitions
+#: (which are set by the size of the data), whichever is more.
+WAVES, PARTITIONS_PER_FILE = 4, 4
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -30,14 +31,15 @@ def stored(df: DataFrame) -> DataFrame:
     Cuts the lineage: a lost executor costs a read, not a recomputation, and what
     follows sees one result even where a retried task would make another.
 
-    A table has WAVES files per core at most: small results with many partitions would else
-    be thousands of tiny files.  Partitions are then read one after another, nothing is
+    The number of files is bounded, since small results with many partitions would else be
+    thousands of tiny ones.  A task then reads some partitions one after another, nothing is
     shuffled.  With dynamic allocation the cores are not known, so all files are written.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
     if spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
-        df = df.coalesce(WAVES * spark.sparkContext.defaultParallelism)
+        shuffled = int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE
+        df = df.coalesce(max(WAVES * spark.sparkContext.defaultParallelism, shuffled))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
