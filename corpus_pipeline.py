@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import materialise, mix
@@ -29,10 +30,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8)."""
-    # the documents that go, by id: fewer than those that stay, and no text is shuffled twice
-    gone = stored(near_duplicates(docs).where("not kept").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates (five words, 0.8): that of the smallest doc_id.
+
+    Every row is a document of its own, so neither a text under an id that others have nor one
+    without an id is taken for another: rows of one id are compared like any others, and of
+    those linked one stays.  Null ids come last: a row with a null id goes if its group has an
+    id, and of a group without ids one row stays.  Ties are broken by a hash of the row.
+    Texts without words are linked with nothing and all stay.
+    """
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_duplicates(rows, key="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    found = stored(found.join(rows.select("__row", "doc_id", F.xxhash64(*docs.columns).alias("__hash")), "__row"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "__hash", "__row")
+    stay = found.groupBy("component_id").agg(F.min(rank).alias("least")).select("least.__row")
+    # the rows that go: fewer than those that stay, and no text is shuffled twice
+    gone = stored(found.select("__row").join(stay, "__row", "left_anti"))
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

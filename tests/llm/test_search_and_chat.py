@@ -2,9 +2,10 @@
 
 import json
 import random
+from collections import Counter
 
 import numpy as np
-from cases import frame, rows
+from cases import frame, near_components, rows
 
 from tessera.llm import ann
 from tessera.llm import chat_format as cf
@@ -147,3 +148,28 @@ def test_pipeline_stages(spark):
     assert len(rows()) and frame(spark, rows()).count() == len(rows())
     random.seed(0)
     assert cp.run(spark, "/root/testdata/sf0.001").count() == packed
+
+
+def test_pipeline_near_stage_is_by_row(spark):
+    """Ids that several texts share and null ids, against brute force over all rows."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(31)
+    data = [(None if rng.random() < 0.33 else r[0], *r[1:]) for r in rows(31)]
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    data += [(1_000, text), (1_001, text), (1_001, "a text of its own under an id that is taken"), (1_002, text + " tail"), (1_002, "one more text of its own here")]
+    data += [(None, text + " end"), (None, other), (None, other + " end"), (None, other), (None, "alone and without an id"), (1_003, "twice the same row"), (1_003, "twice the same row")]
+    data = [(*r, "en", "s", 0)[:5] for r in data]
+    group = {i: c for i, _, c in near_components([(i, r[1]) for i, r in enumerate(data)], 5, 80)}
+    least = {}
+    for i, r in enumerate(data):
+        rank = (r[0] is None, r[0] or 0)
+        least[group[i]] = min(least.get(group[i], rank), rank)
+    named = {r[1]: group[i] if (r[1] or "").split() else r[1] for i, r in enumerate(data)}
+    want = Counter((named[data[c][1]], None if null else doc) for c, (null, doc) in least.items())
+    docs = frame(spark, data)
+    got = cp.near(spark, docs, "")
+    assert got.columns == docs.columns
+    assert Counter((named[r.text], r.doc_id) for r in got.collect()) == want
+    assert cp.near(spark, docs.limit(0), "").count() == 0
