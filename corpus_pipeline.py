@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.line_dedup import dedup_lines
-from tessera.llm.mixing import materialise, mix
+from tessera.llm.mixing import in_shards, materialise, mix
 from tessera.llm.near_dedup import near_duplicates
 from tessera.llm.packing import pack
 from tessera.llm.quality_rules import quality_rules
@@ -49,8 +49,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row per copy of a document."""
-    return materialise(mix(docs)).select(*docs.columns)
+    """The mix: a row per copy of a document, by shard and in the shard's shuffled order."""
+    return in_shards(materialise(mix(docs))).select(*docs.columns)
 
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE_CLASS, WORD_PATTERN, stored, word_count
+from tessera.sources.scratch import PARTITIONS_PER_FILE
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -164,7 +165,6 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", source:
         .otherwise(F.lit(0))
     )
     df = df.withColumn("__partial", F.coalesce(partial, F.lit(0)).cast("long"))
-    df = df.withColumn("taken", F.col("__passes") * F.col("size") + F.col("__partial"))
     depth = spec.shards.bit_length() - 1
 
     def shard(number: Column) -> Column:
@@ -184,7 +184,8 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", source:
     )
     copies = F.filter(F.array(*[one(p) for p in range(int(spec.most) + 1)]), lambda c: c["words"] > 0)
     inner = ["__source", "__hash", "__i", "__passes", "__last", "__cut_hash", "__cut", "__left", "__partial"]
-    return df.withColumn("copies", copies).drop(*inner)
+    df = df.withColumn("copies", copies).drop(*inner)
+    return df.withColumn("taken", F.aggregate(F.col("copies.words"), F.lit(0).cast("long"), lambda a, w: a + w))
 
 
 def materialise(mixed: DataFrame, text: str = "text") -> DataFrame:
@@ -200,6 +201,18 @@ def materialise(mixed: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumns({"pass": F.col("__copy.pass"), "shard": F.col("__copy.shard"), "order": F.col("__copy.order")}).drop("__copy", *own)
 
 
+def in_shards(rows: DataFrame, shards: int = MixSpec().shards) -> DataFrame:
+    """The rows of materialise() by shard, each shard in its shuffled order.
+
+    A shard is one partition, or some that follow each other where shuffle partitions are
+    many: order is uniform, so its ranges are equal and nothing is sampled.
+    """
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // (PARTITIONS_PER_FILE * shards))
+    share = F.col("order").cast("double") / F.lit(2.0**64) + 0.5
+    part = F.col("shard") * parts + F.least(F.floor(share * parts), F.lit(parts - 1)).cast("int")
+    return rows.repartitionById(shards * parts, part).sortWithinPartitions("shard", "order")
+
+
 def write_shards(mixed: DataFrame, path: str, text: str = "text") -> None:
     """Write the mix as one folder per shard, rows in the shard's shuffled order."""
     rows = materialise(mixed, text)

@@ -54,7 +54,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.mixing import mix
 
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    out = mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.col("copies.shard").alias("shards"), F.col("copies.order").alias("orders"))
 
 
 @query

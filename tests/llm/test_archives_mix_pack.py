@@ -93,6 +93,29 @@ def test_mix_is_shuffled_over_shards(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "mix")).count() == 6_000
 
 
+def test_query_and_stage_follow_the_tree(spark):
+    import corpus_pipeline as cp
+    from tessera.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    mixed = mixing.mix(docs)
+    places = {r.doc_id: ([c.shard for c in r.copies], [c.order for c in r.copies], r.taken) for r in mixed.collect()}
+    got = QUERIES["op2_mixing"](spark, sf).collect()
+    assert {r.doc_id: (r.shards, r.orders, r.taken) for r in got} == places
+    assert {s for r in got for s in r.shards} == set(range(16)) and sum(r.taken for r in got) > 0
+    rows = sorted(mixing.materialise(mixed).collect(), key=lambda r: (r.shard, r.order))
+    want = [(r.doc_id, r.text) for r in rows]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (old, "200"):  # a partition per shard, and several
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            stage = cp.mixture(spark, docs, sf)
+            assert stage.columns == docs.columns and [(r.doc_id, r.text) for r in stage.collect()] == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_splitting_tree_is_exact():
     counts = np.asarray([1_000, 37, 0, 512])
     left = mixing.splitting_tree(counts, 8, 3)
