@@ -34,11 +34,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     edges are stored, so a lost executor costs no recomputation.
     """
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    both = stored(both)
+    both = stored(both, small=True)
     now = both.where("u <> v").distinct()
     mark = None
     for _ in range(max_rounds):
-        now = stored(_star(_star(now, True), False))
+        now = stored(_star(_star(now, True), False), small=True)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

@@ -17,41 +17,45 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "/tmp/checkpoints"
-    return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{_prefix(spark)}{uuid.uuid4().hex}"
 
 
-#: Files of a scratch table at most: this many per core, or one for as many shuffle partitions
-#: (which are set by the size of the data), whichever is more.
-WAVES, PARTITIONS_PER_FILE = 4, 4
+def _prefix(spark: SparkSession) -> str:
+    return f"tessera-{spark.sparkContext.applicationId}-"
 
 
-def stored(df: DataFrame) -> DataFrame:
+#: Files of a small table at most: this many per core.
+FILES_PER_CORE = 4
+
+
+def stored(df: DataFrame, small: bool = False) -> DataFrame:
     """The frame, written as Parquet to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a read, not a recomputation, and what
     follows sees one result even where a retried task would make another.
 
-    The number of files is bounded, since small results with many partitions would else be
-    thousands of tiny ones.  A task then reads some partitions one after another, nothing is
-    shuffled.  With dynamic allocation the cores are not known, so all files are written.
+    Every partition is a file, so the work before the write runs as wide as it is planned.
+    small is for results that are little beside what they are made of and come from a
+    shuffle, such as a round of an iteration: the last stage then runs in a few waves of
+    all cores, so that many partitions do not become as many tiny files.  With dynamic
+    allocation the cores are not known, so all files are written.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
-    if spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
-        shuffled = int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE
-        df = df.coalesce(max(WAVES * spark.sparkContext.defaultParallelism, shuffled))
+    if small and spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
+        df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete all scratch tables in the shared folder; results that still read them are lost.
+    """Delete this application's scratch tables; results that still read them are lost.
 
-    Returns how many there were.  For the end of an application, or a folder of its own.
+    Returns how many there were.  For the end of an application.
     """
     base = scratch_dir(spark).rpartition("/")[0]
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{base}/tessera-*")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{base}/{_prefix(spark)}*")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = [x.getPath() for x in fs.globStatus(pattern) or []]
     return sum(bool(fs.delete(p, True)) for p in found)
