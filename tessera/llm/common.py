@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.sources.scratch import scratch_dir, stored
 
-__all__ = ["scratch_dir", "stored", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles"]
+__all__ = ["scratch_dir", "stored", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles", "by_group", "deal_blocks"]
 
 #: A word is a run of anything but ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -132,3 +132,43 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
         has = k < room
         acc = np.where(has, mix64(acc * np.uint64(0x9FB21C651E98DF25) + padded[start + k] + np.uint64(k)), acc)
     return acc, out_first
+
+
+def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of batches that are sorted by the keys, one table each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if held and (k or first != last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def deal_blocks(rows: DataFrame, group: str, member: str, size: Column, most: int, most_bytes: int) -> DataFrame:
+    """rows with block, one and two: the blocks of the group that a task compares (equal for
+    a single block).
+
+    A group of more than most members or most_bytes of size is dealt by hash into blocks of
+    about half that, and a member goes to every pair of blocks that has its own.  A group of
+    one member gives no rows.
+    """
+    counts = rows.groupBy(group).agg(F.count("*").alias("__c"), F.sum(size).alias("__b")).where("__c > 1")
+    half = F.greatest(F.ceil(2 * F.col("__c") / most), F.ceil(2 * F.col("__b") / most_bytes))
+    single = (F.col("__c") <= most) & (F.col("__b") <= most_bytes)
+    rows = rows.join(counts, group).withColumn("__n", F.when(single, 1).otherwise(F.least(half, F.col("__c"))).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(member), F.col("__n")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("__n") - 1), lambda x: F.struct(F.least("block", x).alias("one"), F.greatest("block", x).alias("two")))
+    return rows.withColumn("__p", F.explode(pairs)).withColumns({"one": F.col("__p.one"), "two": F.col("__p.two")}).drop("__c", "__b", "__n", "__p")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD_PATTERN, mix64, powers, stored, text_chunks
+from tessera.llm.common import CHUNK_BYTES, WORD_PATTERN, by_group, deal_blocks, mix64, powers, stored, text_chunks
 from tessera.operators.graph import connected_components
 
 TAU = 2
@@ -25,9 +25,11 @@ TAU = 2
 RATIO = 0.1
 #: Classes of characters that are counted before two lines are compared.
 CLASSES = 32
-#: Keys under which more lines meet are split by parts of the counts: PARTS of them, one more
-#: than the classes that tau edits can touch, so that one part at least is equal.
-HOT_KEY, PARTS = 1_024, 2 * TAU + 1
+#: Lines and bytes that one task compares at once; a key with more is dealt out as pairs of
+#: blocks of half that.
+BLOCK_LINES, BLOCK_BYTES = 4_096, 16 << 20
+#: Numbers of lines that a task remembers, so as to list equal lines once.
+SEEN = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -38,6 +40,17 @@ def segments(length: np.ndarray, i: int, tau: int) -> tuple[np.ndarray, np.ndarr
     return i * small + long_before, small + (i >= tau + 1 - extra)
 
 
+_tables: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, kept per worker."""
+    if not _tables or len(_tables[0]) < n:
+        most = max(n, CHUNK_BYTES + 1)
+        _tables[:] = [powers(most, _BASE), powers(most, pow(_BASE, -1, 1 << 64))]
+    return _tables[0][:n], _tables[1][:n]
+
+
 def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, key, is index) of the lines of a chunk that have the shortest length or more.
 
@@ -50,8 +63,7 @@ def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) ->
     before = np.concatenate([[0], np.cumsum(lead)])
     first = before[offsets[:-1]]
     length = before[offsets[1:]] - first
-    table = powers(n + 1, _BASE)
-    inverse = powers(n + 1, pow(_BASE, -1, 1 << 64))
+    table, inverse = _powers(n + 1)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * table[:n], out=prefix[1:])
     rows = np.flatnonzero(length >= shortest)
@@ -81,16 +93,18 @@ def line_keys(data: np.ndarray, offsets: np.ndarray, tau: int, shortest: int) ->
 
 
 KEY_SCHEMA = "key long, line long, own boolean"
-GROUP_SCHEMA = "key long, line long, own boolean, c int"
+GROUP_SCHEMA = "key long, head long, line long, own boolean"
 
 
 def _key_rows(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
-    """KEY_SCHEMA rows of lines (line, text); a task lists equal lines once."""
+    """KEY_SCHEMA rows of lines (line, text); equal lines that a task meets are listed once as a rule."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # a number per different line of one input split
+        seen: set[int] = set()
         for batch in batches:
             ids = batch.column(0).to_numpy()
+            if len(seen) > SEEN:  # listed anew, which changes no group
+                seen = set()
             new = [i for i, x in enumerate(ids.tolist()) if x not in seen and not seen.add(x)]
             ids, texts = ids[new], batch.column(1).take(pa.array(new, pa.int64()))
             for lo, _, data, offsets in text_chunks(texts):
@@ -101,28 +115,32 @@ def _key_rows(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
 
 
 def _groups(keys: DataFrame) -> DataFrame:
-    """Rows of the keys at which a listed line and another one meet, with the key's number of rows."""
+    """GROUP_SCHEMA rows: each line that meets another one, listed line at a key; head is the
+    key's smallest listed line.  A task streams over sorted rows and holds one batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)  # a shuffle partition of 17-byte rows
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        key, line = (table.column(c).to_numpy() for c in ("key", "line"))
-        own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False)
-        by = np.lexsort((~own, line, key))
-        key, line, own = key[by], line[by], own[by]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-        key, line, own = key[fresh], line[fresh], own[fresh]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        count = np.diff(np.append(begin, len(key)))
-        listed = np.add.reduceat(own.astype(np.int64), begin)
-        keep = np.repeat((count > 1) & (listed > 0), count)
-        count = np.repeat(count, count)[keep]
-        yield pa.record_batch([pa.array(x[keep]) for x in (key, line, own)] + [pa.array(count.astype(np.int32))], names=["key", "line", "own", "c"])
-
-    return keys.repartition("key").mapInArrow(run, GROUP_SCHEMA)
+        before = None  # key, head, whether it is listed, line of the row before
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            key, line = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            own = batch.column(2).to_numpy(zero_copy_only=False)
+            fresh = np.ones(n, bool)
+            fresh[1:] = key[1:] != key[:-1]
+            fresh[0] = before is None or key[0] != before[0]
+            begin = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
+            head, listed, last = line[begin], own[begin], np.roll(line, 1)
+            if before is not None:
+                head, listed = np.where(begin < 0, before[1], head), np.where(begin < 0, before[2], listed)
+                last[0] = before[3]
+            keep = np.flatnonzero(~fresh & listed & (line != head) & (line != last))
+            before = key[-1], head[-1], listed[-1], line[-1]
+            if len(keep):
+                yield pa.record_batch([pa.array(x[keep]) for x in (key, head, line, own)], names=["key", "head", "line", "own"])
+
+    return keys.repartition("key").sortWithinPartitions("key", F.desc("own"), "line").mapInArrow(run, GROUP_SCHEMA)
 
 
 PAIR_SCHEMA = "src long, dst long"
@@ -137,17 +155,6 @@ def count_classes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return both.reshape(-1, CLASSES).astype(np.uint8)
 
 
-def counted(texts: DataFrame) -> DataFrame:
-    """(line, classes: binary) of texts (line, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array([x.tobytes() for x in count_classes(data, offsets)], pa.binary())], names=["line", "classes"])
-
-    return texts.select("line", "text").mapInArrow(run, "line long, classes binary")
-
-
 def _near_counts(a: np.ndarray, b: np.ndarray, tau: int) -> np.ndarray:
     """Whether the counts of classes allow tau edits: each changes two of them by one at most.
 
@@ -158,47 +165,41 @@ def _near_counts(a: np.ndarray, b: np.ndarray, tau: int) -> np.ndarray:
     return gap.sum(axis=-1, dtype=np.int32) <= 2 * tau
 
 
-def star_pairs(groups: DataFrame) -> DataFrame:
-    """(src < dst): each key's lines with its smallest."""
-    heads = groups.groupBy("key").agg(F.min("line").alias("src"))
-    return groups.join(heads, "key").where("line <> src").select("src", F.col("line").alias("dst")).distinct()
-
+def cross_links(groups: DataFrame, texts: DataFrame, found: DataFrame, tau: int, ratio: float) -> DataFrame:
+    """(src < dst): links between lines of a key that are in different components, enough to
+    connect what they connect; groups: GROUP_SCHEMA, found: (node, component) so far.
 
-def cross_pairs(groups: DataFrame, tau: int) -> DataFrame:
-    """(src < dst): lines of a key in different components whose counts allow tau edits.
-
-    groups: (key, line, own, c, component, classes).  Keys with very many lines are split by
-    each part of the counts, one of which linked lines share.
+    A task compares the lines of a key, or of two blocks of them if they are many or long:
+    first the counts of their characters, then the lines themselves, and never two lines
+    that are connected already.  Pairs are neither emitted nor shuffled.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        key, line, comp = (table.column(c).to_numpy() for c in ("k", "line", "component"))
-        own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False)
-        classes = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.uint8).reshape(-1, CLASSES)
-        by = np.lexsort((comp, key))
-        key, line, comp, own, classes = key[by], line[by], comp[by], own[by], classes[by]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)], strict=True):
-            if comp[a] == comp[b - 1]:
-                continue
-            for x in range(a, b - 1):
-                # a component's lines stand together: the others come after its last one
-                y = np.arange(max(x + 1, int(np.searchsorted(comp[a:b], comp[x], side="right")) + a), b)
-                if not own[x]:
-                    y = y[own[y]]
+        for table in by_group(batches, ["key", "one", "two"]):
+            line, comp, block = (table.column(c).to_numpy() for c in ("line", "component", "block"))
+            own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False)
+            body = table.column("text").to_pylist()
+            classes = np.concatenate([count_classes(data, offsets) for _, _, data, offsets in text_chunks(table.column("text"))])
+            comp, out = comp.copy(), []
+            for x in range(len(line) - 1):
+                y = np.arange(x + 1, len(line))
+                y = y[(comp[y] != comp[x]) & (own[y] | own[x])]
+                if block[0] != block[-1]:
+                    y = y[block[y] != block[x]]  # a block against itself is another task's work
                 y = y[_near_counts(classes[y], classes[x], tau)]
-                if len(y):
-                    yield pa.record_batch([pa.array(np.minimum(line[y], line[x])), pa.array(np.maximum(line[y], line[x]))], names=["src", "dst"])
+                for z in y.tolist():
+                    if comp[z] != comp[x] and _linked(body[x], body[z], tau, ratio):
+                        out.append((min(int(line[x]), int(line[z])), max(int(line[x]), int(line[z]))))
+                        comp[comp == comp[z]] = comp[x]
+            yield pa.record_batch([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
 
-    size = -(-CLASSES // PARTS)
-    split = F.array(*[F.xxhash64("key", F.lit(j), F.substring("classes", j * size + 1, size)) for j in range(PARTS)])
-    mixed = groups.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rows = groups.join(mixed, "key").withColumn("k", F.explode(F.when(F.col("c") > HOT_KEY, split).otherwise(F.array("key"))))
-    return rows.select("k", "line", "own", "component", "classes").repartition("k").mapInArrow(meet, PAIR_SCHEMA).distinct()
+    members = groups.select("key", "line", "own").union(groups.select("key", F.col("head").alias("line"), F.lit(True).alias("own"))).groupBy("key", "line").agg(F.max("own").alias("own"))
+    placed = members.join(found.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
+    placed = stored(placed)
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    rows = placed.join(mixed, "key").join(texts, "line")
+    dealt = deal_blocks(rows, "key", "line", F.octet_length("text"), BLOCK_LINES, BLOCK_BYTES)
+    return dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "block").mapInArrow(meet, PAIR_SCHEMA).distinct()
 
 
 def edit_distance_within(a: str, b: str, tau: int) -> int | None:
@@ -224,14 +225,13 @@ def edit_distance_within(a: str, b: str, tau: int) -> int | None:
     a, b = a[: len(a) - low], b[: len(b) - low]
     if not a or not b:
         return len(a) + len(b)
-    where: dict[str, int] = {}
-    for j, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | (1 << j)
-    band = (1 << (2 * tau + 1)) - 1
+    width = 2 * tau + 1
+    band = (1 << width) - 1
     rows = [((1 << (d + 1)) - 1) << tau & band for d in range(tau + 1)]  # bit x: a's first i - tau + x characters
     for i, ch in enumerate(b):
-        at = where.get(ch, 0)
-        at = (at >> (i - tau) if i >= tau else at << (tau - i)) & band
+        at = 0
+        for x, other in enumerate(a[max(i - tau, 0) : i + tau + 1], max(tau - i, 0)):
+            at |= (other == ch) << x
         kept, made = rows, []
         for d in range(tau + 1):
             now = kept[d] & at
@@ -245,6 +245,11 @@ def edit_distance_within(a: str, b: str, tau: int) -> int | None:
     return next((d for d in range(tau + 1) if rows[d] & end), None)
 
 
+def _linked(a: str, b: str, tau: int, ratio: float) -> bool:
+    d = edit_distance_within(a, b, tau)
+    return d is not None and d <= ratio * max(len(a), len(b))
+
+
 def linked_lines(pairs: DataFrame, texts: DataFrame, tau: int, ratio: float) -> DataFrame:
     """The pairs whose lines are within the threshold.  texts: (line, text), one per line."""
     a = texts.select(F.col("line").alias("src"), F.col("text").alias("a"))
@@ -252,11 +257,7 @@ def linked_lines(pairs: DataFrame, texts: DataFrame, tau: int, ratio: float) ->
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for src, dst, x, y in batch.itertuples(index=False):
-                d = edit_distance_within(x, y, tau)
-                if d is not None and d <= ratio * max(len(x), len(y)):
-                    out.append((src, dst))
+            out = [(src, dst) for src, dst, x, y in batch.itertuples(index=False) if _linked(x, y, tau, ratio)]
             yield pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
 
     return pairs.join(a, "src").join(b, "dst").select("src", "dst", "a", "b").mapInPandas(verify, PAIR_SCHEMA)
@@ -277,35 +278,41 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", tau: i
     rows give no rows.  Columns named n_lines or n_removed give way, others are kept.
     """
     if not 1 <= tau <= TAU:
-        raise ValueError(f"tau is 1 to {TAU}: the parts of the counts are made for that")
+        raise ValueError(f"tau is 1 to {TAU}")
     word = WORD_PATTERN[:-1]
     own = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
-    base = docs.select(own.alias("doc"), F.xxhash64(text).alias("th"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "text"))
-    base = base.where(F.col("text").rlike(word)).withColumns({"line": F.xxhash64("text"), "check": F.xxhash64(F.lit(1), "text")})
-    lines = stored(base.groupBy("line", "check").agg(F.min(F.struct("doc", "no", "th")).alias("at"), F.count("*").alias("c")))
+    exploded = docs.select(own.alias("doc"), F.xxhash64(text).alias("th"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "text"))
+    exploded = exploded.where(F.col("text").rlike(word)).withColumns({"line": F.xxhash64("text"), "check": F.xxhash64(F.lit(1), "text")})
+    occurrences = stored(exploded.drop("text"))
+    lines = stored(occurrences.groupBy("line", "check").agg(F.min(F.struct("doc", "no", "th")).alias("at"), F.count("*").alias("c")))
     shortest = int(1 / ratio) - 1 if ratio < 1 else tau + 1
-    groups = stored(_groups(_key_rows(base.select("line", "text"), tau, max(shortest, tau + 1))))
-    met = groups.select("line").distinct().join(lines, "line").select("line", "at.doc", "at.no", "at.th")
-    texts = stored(base.join(met, ["line", "doc", "no", "th"]).groupBy("line").agg(F.min("text").alias("text")))
-    first = stored(star_pairs(groups))
+    groups = stored(_groups(_key_rows(exploded.select("line", "text"), tau, max(shortest, tau + 1))))
+    met = groups.select("line").union(groups.select(F.col("head").alias("line"))).distinct()
+    met = met.join(lines, "line").select("line", "check", "at.doc", "at.no", "at.th")
+    texts = exploded.join(met, ["line", "check", "doc", "no", "th"]).groupBy("line").agg(F.min(F.struct("check", "text")).alias("first"))
+    texts = stored(texts.select("line", "first.check", "first.text"))
+    first = groups.select(F.least("head", "line").alias("src"), F.greatest("head", "line").alias("dst")).distinct()
     links = stored(linked_lines(first, texts, tau, ratio))
     found = stored(connected_components(links))
-    labelled = groups.join(found, groups["line"] == found["node"], "left").withColumn("component", F.coalesce("component", "line")).drop("node")
-    second = stored(cross_pairs(labelled.join(counted(texts), "line"), tau).join(first, ["src", "dst"], "left_anti"))
-    more = linked_lines(second, texts, tau, ratio)
-    found = stored(connected_components(links.union(more)))
+    more = stored(cross_links(groups, texts.select("line", "text"), found, tau, ratio))
+    found = connected_components(links.union(more))
+    # of two lines with one number only that whose text was compared is in a class
+    found = stored(found.join(texts.select("line", "check"), found["node"] == texts["line"]).select("line", "check", "component"))
     # the place that stays for every line that has another place, or another line, in its class
-    marked = lines.join(found, lines["line"] == found["node"], "left")
+    marked = lines.join(found, ["line", "check"], "left")
     near = marked.where("component is not null")
     heads = near.groupBy("component").agg(F.min("at").alias("head"))
     stays = near.join(heads, "component").select("line", "check", "head").union(marked.where("component is null and c > 1").select("line", "check", F.col("at").alias("head")))
-    gone = base.select("doc", "th", "no", "line", "check").join(stays, ["line", "check"]).where((F.col("doc") != F.col("head.doc")) | (F.col("no") != F.col("head.no")))
-    gone = gone.groupBy("doc", "th").agg(F.collect_set("no").alias("gone"))  # line numbers of one document
+    gone = occurrences.join(stays, ["line", "check"]).where((F.col("doc") != F.col("head.doc")) | (F.col("no") != F.col("head.no")))
+    gone = gone.groupBy("doc", "th").agg(F.sort_array(F.collect_set("no")).alias("gone"))  # line numbers of one document
     gone = stored(gone.withColumnsRenamed({"doc": "__doc", "th": "__th", "gone": "__gone"}))
     out = docs.drop("n_lines", "n_removed").withColumns({"__own": own, "__hash": F.xxhash64(text)})
     out = out.join(gone, (F.col("__own") == F.col("__doc")) & (F.col("__hash") == F.col("__th")), "left")
-    out = out.withColumn("__lines", F.split(F.col(text), "\n")).withColumn("__gone", F.map_from_entries(F.transform("__gone", lambda x: F.struct(x, F.lit(1)))))
-    kept = F.filter("__lines", lambda x, i: F.element_at("__gone", i).isNull())
+    out = out.withColumn("__lines", F.split(F.col(text), "\n"))
+    # the stretches between lines that go, so that a document is worked through once
+    after = lambda j: F.coalesce(F.get("__gone", j - 1), F.lit(-1)) + 1
+    until = lambda j: F.coalesce(F.get("__gone", j), F.size("__lines"))
+    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("__gone")), lambda j: F.slice("__lines", after(j) + 1, until(j) - after(j))))
     return out.withColumns(
         {
             text: F.when(F.col("__gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text)),

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shingles, stored, text_chunks, word_hashes
+from tessera.llm.common import by_group, shingles, stored, text_chunks, word_hashes
 from tessera.operators.graph import connected_components
 
 #: Retained values per document that make inverted lists, and that make its sketch.
@@ -180,29 +180,6 @@ def _forest(node: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, i
     return out
 
 
-def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The groups of batches that are sorted by the keys, one table each."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        first = tuple(c[0] for c in columns)
-        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if held and (k or first != last):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(lo, hi - lo))
-        last = tuple(c[-1] for c in columns)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 KEYS = ["leader", "one", "two"]
 
 
@@ -212,7 +189,7 @@ def plausible(groups: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
     floor = least_shared(SKETCH, share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_group(batches, KEYS):
+        for table in by_group(batches, KEYS):
             node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
             sketches = [np.frombuffer(x, np.uint32) for x in table.column("sketch").to_pylist()]
             row = np.repeat(np.arange(len(node)), [len(x) for x in sketches])
@@ -243,7 +220,7 @@ def exact_links(groups: DataFrame, texts: DataFrame, spec: NearSpec) -> DataFram
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_group(batches, KEYS):
+        for table in by_group(batches, KEYS):
             node, block = table.column("node").to_numpy(), table.column("block").to_numpy()
             values, sizes = [], []
             for _, _, data, offsets in text_chunks(table.column("text")):
