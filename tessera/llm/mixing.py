@@ -18,7 +18,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE_CLASS, WORD_PATTERN, stored, word_count
-from tessera.sources.scratch import PARTITIONS_PER_FILE
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -93,11 +92,26 @@ def __block(spec: MixSpec) -> Column:
     return F.pmod(F.col("__hash"), F.lit(spec.blocks))
 
 
+def __part(spec: MixSpec) -> Column:
+    """The part of its block that a document is in; blocks are in the order of their parts, parts in that of the hash."""
+    return F.pmod(F.floor(F.col("__hash") / F.lit(spec.blocks)), F.lit(spec.blocks)).cast("long")
+
+
+def _reached(sums: DataFrame, step: str, least: str) -> DataFrame:
+    """The row of each source at which the cumulative sum of w in the order of step passes least.
+
+    sums has a row per source and step, at most as many as a source has blocks but for the last look.
+    """
+    run = W.partitionBy("__i").orderBy(step).rowsBetween(W.unboundedPreceding, 0)
+    upto = sums.withColumn("__sum", F.sum("w").over(run)).where((F.col("__sum") > F.col(least)) & (F.col("__sum") - F.col("w") <= F.col(least)))
+    return upto.withColumn("__rest", F.col(least) - F.col("__sum") + F.col("w"))
+
+
 def plan_sources(slim: DataFrame, spec: MixSpec) -> DataFrame:
     """One row per source: its quota, where its last block is cut, and its path counts.
 
-    slim: (__source, __hash, size).  The documents of one block per source are ordered, no
-    others; block sums are pre-aggregated before the shuffle.
+    slim: (__source, __hash, size).  The documents of one part of one block per source are
+    ordered, a millionth of it by default; sums are pre-aggregated before the shuffle.
     """
     spark = slim.sparkSession
     sums = slim.groupBy("__source").agg(F.sum("size").alias("size")).limit(spec.max_sources + 1).collect()
@@ -112,26 +126,24 @@ def plan_sources(slim: DataFrame, spec: MixSpec) -> DataFrame:
         rows.append((i, r["__source"], size, float(t), int(passes), int(take - passes * size)))
     source_rows = spark.createDataFrame(rows, "__i int, __source string, source_size long, target double, __passes int, __part long")
     by_source = slim.join(_small(source_rows, len(rows)), slim["__source"].eqNullSafe(source_rows["__source"])).drop("__source")
-    # the block in which the last pass ends, by cumulative sums over the source's blocks
-    blocks = by_source.withColumn("__block", __block(spec)).groupBy("__i", "__part", "__block").agg(F.sum("size").alias("w"))
-    run = W.partitionBy("__i").orderBy("__block").rowsBetween(W.unboundedPreceding, 0)
-    ends = blocks.where("__part > 0").withColumn("__sum", F.sum("w").over(run)).where((F.col("__sum") > F.col("__part")) & (F.col("__sum") - F.col("w") <= F.col("__part")))
-    ends = ends.select("__i", F.col("__block").alias("__last"), (F.col("__part") - F.col("__sum") + F.col("w")).alias("__rest"))
-    last = {r["__i"]: (r["__last"], r["__rest"]) for r in ends.collect()}
-    # the document in which it ends, among those of that block
-    end_rows = spark.createDataFrame([(i, *x) for i, x in last.items()], "__i int, __last long, __rest long")
-    inside = by_source.join(_small(end_rows, len(last)), "__i").where(__block(spec) == F.col("__last"))
-    inside = inside.groupBy("__i", "__rest", "__hash").agg(F.sum("size").alias("w"), F.count("*").alias("n"))
-    run = W.partitionBy("__i").orderBy("__hash").rowsBetween(W.unboundedPreceding, 0)
-    cuts = inside.withColumn("__sum", F.sum("w").over(run)).where((F.col("__sum") > F.col("__rest")) & (F.col("__sum") - F.col("w") <= F.col("__rest")))
-    cut = {r["__i"]: (r["__hash"], r["__cut"]) for r in cuts.select("__i", "__hash", F.expr("(__rest - __sum + w) div n").alias("__cut")).collect()}
+    # the block in which the last pass ends, its part, and the document there: each a sum over what the look before found
+    blocks = by_source.where("__part > 0").withColumn("__block", __block(spec)).groupBy("__i", "__part", "__block").agg(F.sum("size").alias("w"))
+    last = {r["__i"]: (r["__block"], r["__rest"]) for r in _reached(blocks, "__block", "__part").select("__i", "__block", "__rest").collect()}
+    end_rows = spark.createDataFrame([(i, *x) for i, x in last.items()], "__i int, __last long, __least long")
+    inside = by_source.join(_small(end_rows, len(last)), "__i").where(__block(spec) == F.col("__last")).withColumn("__in", __part(spec))
+    parts = inside.groupBy("__i", "__least", "__in").agg(F.sum("size").alias("w"))
+    within = {r["__i"]: (r["__in"], r["__rest"]) for r in _reached(parts, "__in", "__least").select("__i", "__in", "__rest").collect()}
+    part_rows = spark.createDataFrame([(i, *x) for i, x in within.items()], "__i int, __in long, __least long")
+    few = inside.drop("__least").join(_small(part_rows, len(within)), ["__i", "__in"]).groupBy("__i", "__least", "__hash").agg(F.sum("size").alias("w"), F.count("*").alias("n"))
+    cuts = _reached(few, "__hash", "__least").select("__i", "__hash", F.expr("__rest div n").alias("__cut"))
+    cut = {r["__i"]: (within[r["__i"]][0], r["__hash"], r["__cut"]) for r in cuts.collect()}
     counts = [p * spec.blocks + (last[i][0] + 1 if i in last else 0) for i, _, _, _, p, _ in rows]
     tree = splitting_tree(np.asarray(counts, dtype=np.int64), spec.shards, spec.seed)
     full = [
-        (i, s, size, t, p, *(last[i][:1] if i in last else (-1,)), *cut.get(i, (None, 0)), tree[i].tolist())
+        (i, s, size, t, p, *(last[i][:1] if i in last else (-1,)), *cut.get(i, (None, None, 0)), tree[i].tolist())
         for i, s, size, t, p, _ in rows
     ]
-    schema = "__i int, __source string, source_size long, target double, __passes int, __last long, __cut_hash long, __cut long, __left array<long>"
+    schema = "__i int, __source string, source_size long, target double, __passes int, __last long, __in long, __cut_hash long, __cut long, __left array<long>"
     return spark.createDataFrame(full, schema)
 
 
@@ -160,7 +172,7 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", source:
     block = __block(spec)
     partial = (
         F.when(block < F.col("__last"), F.col("size"))
-        .when((block == F.col("__last")) & (F.col("__hash") < F.col("__cut_hash")), F.col("size"))
+        .when((block == F.col("__last")) & ((__part(spec) < F.col("__in")) | (__part(spec) == F.col("__in")) & (F.col("__hash") < F.col("__cut_hash"))), F.col("size"))
         .when((block == F.col("__last")) & (F.col("__hash") == F.col("__cut_hash")), F.least("size", "__cut"))
         .otherwise(F.lit(0))
     )
@@ -183,7 +195,7 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec(), text: str = "text", source:
         F.xxhash64(F.lit(spec.seed + 1 + p), "__hash").alias("order"),
     )
     copies = F.filter(F.array(*[one(p) for p in range(int(spec.most) + 1)]), lambda c: c["words"] > 0)
-    inner = ["__source", "__hash", "__i", "__passes", "__last", "__cut_hash", "__cut", "__left", "__partial"]
+    inner = ["__source", "__hash", "__i", "__passes", "__last", "__in", "__cut_hash", "__cut", "__left", "__partial"]
     df = df.withColumn("copies", copies).drop(*inner)
     return df.withColumn("taken", F.aggregate(F.col("copies.words"), F.lit(0).cast("long"), lambda a, w: a + w))
 
@@ -207,7 +219,7 @@ def in_shards(rows: DataFrame, shards: int = MixSpec().shards) -> DataFrame:
     A shard is one partition, or some that follow each other where shuffle partitions are
     many: order is uniform, so its ranges are equal and nothing is sampled.
     """
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // (PARTITIONS_PER_FILE * shards))
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
     share = F.col("order").cast("double") / F.lit(2.0**64) + 0.5
     part = F.col("shard") * parts + F.least(F.floor(share * parts), F.lit(parts - 1)).cast("int")
     return rows.repartitionById(shards * parts, part).sortWithinPartitions("shard", "order")
