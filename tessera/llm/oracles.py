@@ -99,26 +99,30 @@ f AS (
   FROM d LEFT JOIN rep USING (doc_id)
 ), v AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [
-    CASE WHEN 10 * n_symbols > n_words THEN 0 ELSE -1 END, CASE WHEN 10 * up > 4 * word_chars THEN 0 ELSE -1 END, CASE WHEN 10 * marks > 2 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN 10 * n_symbols > n_words THEN 0 ELSE -1 END, CASE WHEN 20 * n_symbols > word_chars THEN 0 ELSE -1 END,
+    CASE WHEN 10 * up > 3 * word_chars THEN 0 ELSE -1 END, CASE WHEN 5 * marks > n_words THEN 0 ELSE -1 END,
     CASE WHEN 10 * n_dup_lines > 3 * lines THEN 0 ELSE -1 END, CASE WHEN 10 * n_repeat_words > 4 * n_words THEN 0 ELSE -1 END,
-    CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 0 ELSE -1 END,
-    CASE WHEN 100 * n_symbols <= 2 * n_words AND 10 * up <= 2 * word_chars AND 20 * marks <= n_words AND 10 * n_dup_lines <= 4 * lines AND 20 * n_repeat_words <= 9 * n_words THEN 1 ELSE -1 END
+    CASE WHEN word_chars < 3 * n_words OR word_chars > 12 * n_words THEN 0 ELSE -1 END,
+    CASE WHEN n_words > 0 AND 50 * n_symbols <= n_words AND 5 * up <= word_chars AND 20 * marks <= n_words AND 2 * n_repeat_words <= n_words THEN 1 ELSE -1 END,
+    CASE WHEN n_words > 0 AND 100 * n_symbols <= word_chars AND 10 * n_repeat_words <= 3 * n_words AND word_chars BETWEEN 3 * n_words AND 12 * n_words THEN 1 ELSE -1 END
   ] AS votes FROM f
-), pats AS (SELECT votes, count(*)::DOUBLE AS n FROM v GROUP BY votes), r AS (SELECT list({'v': votes, 'n': n} ORDER BY votes) AS pats FROM pats),
+), pats AS (SELECT votes, count(*)::DOUBLE AS n FROM v GROUP BY votes), r AS (SELECT list({'v': [0] || votes, 'n': n} ORDER BY votes) AS pats FROM pats),
 em(k, a) AS (
-  SELECT 0, list_transform(range(7), lambda i: 0.95::DOUBLE)
+  SELECT 0, list_transform(range(10), lambda i: CASE i WHEN 0 THEN 0.1::DOUBLE ELSE 0.9::DOUBLE END)
   UNION ALL
-  SELECT k + 1, list_transform(range(1, 8), lambda j: coalesce((
+  SELECT k + 1, list_transform(range(1, 11), lambda j: coalesce((
       list_sum(list_transform(q, lambda x: CASE x.v[j] WHEN 0 THEN x.n * x.q WHEN 1 THEN x.n * (1 - x.q) ELSE 0 END))
-      / nullif(list_sum(list_transform(q, lambda x: CASE WHEN x.v[j] <> -1 THEN x.n ELSE 0 END)), 0) + 0.95) / 2, 0.95))
+      / nullif(list_sum(list_transform(q, lambda x: CASE WHEN x.v[j] <> -1 THEN x.n ELSE 0 END)), 0) + 0.01 * CASE j WHEN 1 THEN 0.1 ELSE 0.9 END) / 1.01,
+      CASE j WHEN 1 THEN 0.1 ELSE 0.9 END))
   FROM (
-    SELECT k, list_transform(pats, lambda x: {'v': x.v, 'n': x.n, 'q': 1 / (1 + exp(-list_sum(list_transform(range(1, 8), lambda i:
-      CASE x.v[i] WHEN 0 THEN ln(a[i] / (1 - a[i])) WHEN 1 THEN ln((1 - a[i]) / a[i]) ELSE 0 END))))}) AS q
+    SELECT k, list_transform(pats, lambda x: {'v': x.v, 'n': x.n, 'q': 1 / (1 + exp(-ln(a[1] / (1 - a[1])) - list_sum(list_transform(range(2, 11), lambda i:
+      CASE x.v[i] WHEN 0 THEN greatest(ln(a[i] / (1 - a[i])) - ln(a[1] / (1 - a[1])), 0) WHEN 1 THEN -greatest(ln(a[i] / (1 - a[i])) + ln(a[1] / (1 - a[1])), 0) ELSE 0 END))))}) AS q
     FROM em, r WHERE k < 25
   )
 ), model AS (SELECT a FROM em WHERE k = 25),
 p AS (
-  SELECT v.*, 1 - 1 / (1 + exp(-list_sum(list_transform(range(1, 8), lambda i: CASE votes[i] WHEN 0 THEN ln(a[i] / (1 - a[i])) WHEN 1 THEN ln((1 - a[i]) / a[i]) ELSE 0 END)))) AS good FROM v, model
+  SELECT v.*, 1 - 1 / (1 + exp(-ln(a[1] / (1 - a[1])) - list_sum(list_transform(range(2, 11), lambda i:
+    CASE votes[i - 1] WHEN 0 THEN greatest(ln(a[i] / (1 - a[i])) - ln(a[1] / (1 - a[1])), 0) WHEN 1 THEN -greatest(ln(a[i] / (1 - a[i])) + ln(a[1] / (1 - a[1])), 0) ELSE 0 END)))) AS good FROM v, model
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good >= 0.5 AS kept, array_to_string(votes, ',') AS votes, round(good, 6) AS good_probability FROM p
 """

@@ -39,7 +39,7 @@ class ClassifierSpec:
 
 
 #: The labellers, in the order of the votes.
-LABELLERS = ("short", "symbols", "capitals", "marks", "bars", "line_repeats", "word_repeats", "one_word", "prose")
+LABELLERS = ("short", "symbols", "capitals", "marks", "bars", "line_repeats", "word_repeats", "one_word", "clean", "fresh")
 _SHAPE = np.zeros(256, np.uint8)  # classes of bytes: 0 space and others, 1 lower, 2 upper, 3 digit, 4 mark, 5 symbol, 6 bar
 _SHAPE[0x61:0x7B], _SHAPE[0x41:0x5B], _SHAPE[0x30:0x3A] = 1, 2, 3
 _SHAPE[0x80:] = 1
@@ -76,45 +76,40 @@ def vote_chunk(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if len(cut):
             lines = [x for x in data[lo:hi].tobytes().split(b"\n") if x.strip()]
             line_repeats[i] = 1 - len(set(lines)) / max(len(lines), 1)
-    # each sign of a fault with its limit; prose speaks where the signs are low, for some
-    # a little beyond the limit, where it contradicts
-    signs = (
-        (3 - n, 0, 0),
-        (kinds[5] / words, 0.2, 0.05),
-        (kinds[2] / text, 0.4, 0.2),
-        (kinds[4] / words, 0.2, 0.1),
-        (kinds[6] / words, 0.2, 0.05),
-        (line_repeats, 0.3, 0.4),
-        (1 - distinct, 0.65, 0.7),
-        (common, 0.3, 0.3),
-    )
-    out = np.full((len(n), len(LABELLERS)), ABSTAIN, np.int8)
-    clean = np.ones(len(n), bool)
-    for j, (sign, limit, low) in enumerate(signs):
-        out[sign > limit, j] = BAD
-        clean &= sign <= low
-    out[clean, -1] = GOOD
-    return out
-
-
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(accuracy of each labeller where it speaks, chance of good per vote combination).
-
-    Estimated by expectation-maximisation over the counted combinations, with even classes
-    and a prior towards the start that weighs as much as the labeller's own votes: what one
-    labeller alone can see has no other to confirm it.
+    # eight labellers vote bad beyond a limit of one sign; two vote good, each by several signs
+    # but not by repeated lines, of which whole and varied texts may have some
+    symbols, capitals, marks, bars = kinds[5] / words, kinds[2] / text, kinds[4] / words, kinds[6] / words
+    variety, many = 1 - distinct, n >= 3
+    faults = (~many, symbols > 0.2, capitals > 0.4, marks > 0.2, bars > 0.2, line_repeats > 0.3, variety > 0.65, common > 0.3)
+    clean = many & (symbols <= 0.05) & (capitals <= 0.2) & (marks <= 0.1) & (bars <= 0.05) & (variety <= 0.7) & (common <= 0.3)
+    fresh = many & (variety <= 0.4) & (common <= 0.2) & (bars <= 0.1) & (symbols <= 0.1)
+    return np.stack([np.where(x, BAD, ABSTAIN) for x in faults] + [np.where(x, GOOD, ABSTAIN) for x in (clean, fresh)], 1).astype(np.int8)
+
+
+#: Where the share of bad texts and the accuracies start, and what that weighs beside the votes.
+START_BAD, START_ACCURACY, PRIOR_WEIGHT = 0.1, 0.9, 0.01
+
+
+def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(accuracy of each labeller where it speaks, chance of good per vote combination, share of bad).
+
+    Estimated by expectation-maximisation over the counted combinations; labellers are taken
+    as independent given the class.  An accuracy is the chance that a vote is right, the share
+    of its class included: a vote weighs by its log-odds over those of the class, and never
+    speaks against itself.  So one vote alone gives its labeller's accuracy.
     """
-    start = 0.95
-    right = np.full(votes.shape[1], start)
+    right, bad = np.full(votes.shape[1], START_ACCURACY), START_BAD
     spoke, says_good = votes != ABSTAIN, votes == GOOD
-    total = (counts[:, None] * spoke).sum(0)
-    chance = np.full(len(votes), 0.5)
+    total, everyone = (counts[:, None] * spoke).sum(0), counts.sum()
+    chance = np.full(len(votes), 1 - START_BAD)
     for _ in range(rounds):
-        odds = np.log(right) - np.log(1 - right)
-        chance = 1 / (1 + np.exp(-(np.where(says_good, odds, -odds) * spoke).sum(1)))
+        prior, odds = np.log(bad / (1 - bad)), np.log(right / (1 - right))
+        weight = np.where(says_good, -np.maximum(odds + prior, 0), np.maximum(odds - prior, 0)) * spoke
+        chance = 1 / (1 + np.exp(prior + weight.sum(1)))
         hit = (counts[:, None] * spoke * np.where(says_good, chance[:, None], 1 - chance[:, None])).sum(0)
-        right = np.where(total > 0, (hit / np.maximum(total, 1) + start) / 2, start)
-    return right, chance
+        right = np.where(total > 0, (hit / np.maximum(total, 1) + PRIOR_WEIGHT * START_ACCURACY) / (1 + PRIOR_WEIGHT), START_ACCURACY)
+        bad = float(((counts * (1 - chance)).sum() / everyone + PRIOR_WEIGHT * START_BAD) / (1 + PRIOR_WEIGHT)) if everyone else START_BAD
+    return right, chance, bad
 
 
 def hashed_features(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,6 +158,7 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarr
 @dataclass
 class QualityModel:
     accuracies: np.ndarray
+    bad_share: float
     patterns: dict[bytes, float]
     weights: np.ndarray
     bias: float
@@ -179,12 +175,12 @@ def linear_score(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, bia
 def train(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str = "text") -> QualityModel:
     """Estimate the labellers over all documents and fit the scorer on the sample.
 
-    The driver gets a row per vote combination (3 ** 9 at most) and the features of the
+    The driver gets a row per vote combination (2 ** 10 at most) and the features of the
     sample: the documents with the smallest text hashes, the same for any partitioning.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}  # 3 ** 9 keys at most
+        seen: dict[bytes, int] = {}  # 2 ** 10 keys at most
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
                 pattern, n = np.unique(vote_chunk(data, offsets), axis=0, return_counts=True)
@@ -196,15 +192,17 @@ def train(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str =
     rows = body.mapInArrow(count, "votes binary, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     rows.sort(key=lambda r: bytes(r["votes"]))
     votes = np.asarray([np.frombuffer(r["votes"], np.int8) for r in rows]).reshape(-1, len(LABELLERS))
-    accuracies, chance = estimate(votes, np.asarray([r["n"] for r in rows], dtype=float), spec.rounds)
+    accuracies, chance, bad_share = estimate(votes, np.asarray([r["n"] for r in rows], dtype=float), spec.rounds)
     patterns = {bytes(r["votes"]): float(q) for r, q in zip(rows, chance, strict=True)}
 
+    unseen = 1 - bad_share
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column(0)):
                 row, feature, value = hashed_features(data, offsets, spec.bits)
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
-                labels = [patterns.get(v.tobytes(), 0.5) for v in vote_chunk(data, offsets)]
+                labels = [patterns.get(v.tobytes(), unseen) for v in vote_chunk(data, offsets)]
                 yield pa.record_batch(
                     [
                         pa.array(labels),
@@ -218,7 +216,7 @@ def train(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str =
     order = F.xxhash64(F.lit(spec.seed), "text")
     edge = body.select(order.alias("o")).orderBy("o").limit(spec.sample).agg(F.max("o")).first()[0]
     if edge is None:
-        return QualityModel(accuracies, patterns, np.zeros(1 << spec.bits), 0.0, spec)
+        return QualityModel(accuracies, bad_share, patterns, np.zeros(1 << spec.bits), 0.0, spec)
     # copies of one text have one hash; the sample has each text once
     chosen = body.where(order <= edge).dropDuplicates(["text"])
     got = chosen.mapInArrow(extract, "label double, feature binary, value binary").toPandas()
@@ -226,7 +224,7 @@ def train(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str =
     feature = np.frombuffer(b"".join(got["feature"]), np.int32).astype(np.int64)
     value = np.frombuffer(b"".join(got["value"]), np.float32).astype(float)
     weights, bias = fit(row, feature, value, got["label"].to_numpy(), spec)
-    return QualityModel(accuracies, patterns, weights, bias, spec)
+    return QualityModel(accuracies, bad_share, patterns, weights, bias, spec)
 
 
 def classify(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str = "text", key: str = "doc_id", model: QualityModel | None = None) -> DataFrame:
@@ -242,8 +240,8 @@ def classify(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str
     """
     spark = docs.sparkSession
     model = model or train(docs, spec, text)
-    shared = spark.sparkContext.broadcast((model.weights, model.patterns))  # 2 ** bits weights, 3 ** 9 patterns at most
-    bias, bits, threshold = model.bias, model.spec.bits, model.spec.threshold
+    shared = spark.sparkContext.broadcast((model.weights, model.patterns))  # 2 ** bits weights, 2 ** 10 patterns at most
+    bias, bits, threshold, unseen = model.bias, model.spec.bits, model.spec.threshold, 1 - model.bad_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, patterns = shared.value
@@ -255,7 +253,7 @@ def classify(docs: DataFrame, spec: ClassifierSpec = ClassifierSpec(), text: str
                     [
                         batch.column(0).slice(lo, hi - lo),
                         pa.array((votes != ABSTAIN).sum(1).astype(np.int32)),
-                        pa.array([patterns.get(v.tobytes(), 0.5) for v in votes]),
+                        pa.array([patterns.get(v.tobytes(), unseen) for v in votes]),
                         pa.array(score),
                         pa.array(score >= threshold),
                     ],

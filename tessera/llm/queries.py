@@ -27,7 +27,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.quality_rules import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents")).select(
+    return quality_rules(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join(F.col("votes").cast("array<string>"), ",").alias("votes"),
         F.round("good_probability", 6).alias("good_probability"),
