@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import stored
+from tessera.sources.scratch import discard, stored
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -37,8 +37,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     both = stored(both, small=True)
     now = both.where("u <> v").distinct()
     mark = None
-    for _ in range(max_rounds):
-        now = stored(_star(_star(now, True), False), small=True)
+    for i in range(max_rounds):
+        last, now = now, stored(_star(_star(now, True), False), small=True)
+        if i:
+            discard(last)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

@@ -45,7 +45,19 @@ def stored(df: DataFrame, small: bool = False) -> DataFrame:
     if small and spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
         df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of frames that stored() returned and that no result reads any more.
+
+    What was made of them must be stored itself; else a lost executor could not be made good.
+    """
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_scratch(spark: SparkSession) -> int:

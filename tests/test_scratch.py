@@ -1,6 +1,8 @@
 """Scratch tables in the shared folder."""
 
-from tessera.sources.scratch import clear_scratch, scratch_dir, stored
+from pathlib import Path
+
+from tessera.sources.scratch import clear_scratch, discard, scratch_dir, stored
 
 
 def test_stored_and_cleared(spark):
@@ -8,3 +10,10 @@ def test_stored_and_cleared(spark):
     assert df.count() == 10 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString().replace("FileScan", "Scan")
     assert scratch_dir(spark) != scratch_dir(spark)
     assert clear_scratch(spark) >= 1 and clear_scratch(spark) == 0
+
+
+def test_discarded(spark):
+    kept, gone = stored(spark.range(10)), stored(spark.range(5).repartition(3), small=True)
+    assert gone.count() == 5
+    discard(gone)
+    assert kept.count() == 10 and not Path(gone._scratch).exists()
