@@ -2,10 +2,12 @@
 
 Every string of LENGTH bytes has an anchor, the smallest K-byte hash in it, so equal
 strings meet at equal anchors.  Strings with one anchor that follow each other make a run.
-Runs that are equal as a whole need no sorting: all but the first are repeats.  Where an
-anchor has different contexts, the strings around it are sorted as suffixes: a bottom-up
-mergesort whose comparisons find the common extension by binary search over prefix
-polynomial hashes; neighbours found equal are verified byte by byte.
+Runs with equal prefix hashes need no sorting: once verified, all but the first are
+repeats.  Where an anchor has different contexts, the strings around it are sorted as
+suffixes: a bottom-up mergesort whose comparisons find the common extension by binary
+search over prefix polynomial hashes; neighbours found equal are verified byte by byte.
+Polynomial hashes only propose: inside a task the bytes are compared, across tasks 128-bit
+BLAKE2 digests of them.
 """
 
 from __future__ import annotations
@@ -14,13 +16,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix64, powers, stored, text_chunks
+from tessera.llm.common import discard, mix64, powers, stored, text_chunks
 
 #: Bytes of an anchor's hash.  A string of 100 bytes holds 61 of them.
 K = 40
@@ -173,11 +174,18 @@ def _repeats_in(contexts: list[bytes], anchor: np.ndarray, doc: np.ndarray, begi
 
 #: Places count from here for the second text of a doc_id, from twice that for the third.
 VARIANT = 1 << 40
-#: An anchor with more different contexts than this is dealt out by single strings.
+#: An anchor with more different contexts than this is dealt out by single strings, whose
+#: first occurrence is a grouped minimum.
 HOT_ANCHOR = 32_768
+#: What a text with very many copies is spread over when its copies look for the first.
+SALTS = 16
 RUN_SCHEMA = "h long, c long, doc long, begin long, strings int, lead int, known boolean"
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def _runs_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(document number, h, c, begin, strings, lead) of the runs of a chunk of at most PIECE bytes."""
     n, span = len(data), length - K + 1
@@ -229,11 +237,15 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
                     row, h, c, begin, count, lead = _runs_of(part, at, length)
                     if not len(row):
                         continue
+                    local = begin
                     doc, begin = ids[lo + row], begin - at[row] + shift + base[lo + row]
                     by = np.lexsort((begin, doc, c, h))
                     same = np.zeros(len(by), bool)
                     same[1:] = (h[by][1:] == h[by][:-1]) & (c[by][1:] == c[by][:-1])
                     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
+                    for i in np.flatnonzero(same).tolist():  # collisions: compare the bytes themselves
+                        a, b, n = local[by[i]], local[by[first[i]]], count[by[i]] + length - 1
+                        same[i] = n == count[by[first[i]]] + length - 1 and np.array_equal(part[a : a + n], part[b : b + n])
                     # the same place in rows with one id is no repeat
                     later = same & ((doc[by] != doc[by][first]) | (begin[by] != begin[by][first]))
                     known = np.zeros(len(by), bool)
@@ -266,13 +278,20 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
 SPAN_SCHEMA = "doc long, start long, end long"
 
 
-def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted (h, doc, begin, strings, lead, hot) with the bytes of its strings.
+CONTEXT_SCHEMA = "kind int, h long, c long, doc long, begin long, strings int, lead int, bytes binary"
+#: Kinds of CONTEXT_SCHEMA rows: a context to sort, a single string, a run to verify.
+SORT, SINGLE, VERIFY = 0, 1, 2
 
-    Where the anchor is hot each string is a row of its own, with its hash in place of h.
+
+def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """CONTEXT_SCHEMA rows of wanted (kind, h, c, doc, begin, strings, lead): bytes holds those
+    of the run, or a digest of them where they are only compared.  A row of the kind SINGLE
+    becomes a row per string.
     """
     wanted = wanted.withColumn("variant", F.expr(f"begin div {VARIANT}L"))
-    rows = wanted.groupBy("doc", "variant").agg(F.collect_list(F.struct("h", "begin", "strings", "lead", "hot")).alias("runs"))
+    rows = wanted.groupBy("doc", "variant").agg(F.collect_list(F.struct("kind", "h", "c", "begin", "strings", "lead")).alias("runs"))  # of one text
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = [c.split()[0] for c in CONTEXT_SCHEMA.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,22 +300,26 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 body = texts[i].cast(pa.binary()).as_py()
                 out = []
                 for want in wants[i].values.to_pylist():
-                    begin, strings = want["begin"], want["strings"]
+                    kind, h, c, begin, strings, lead = (want[k] for k in ("kind", "h", "c", "begin", "strings", "lead"))
                     at = begin % VARIANT
                     part = body[at : at + strings + length - 1]
-                    if want["hot"]:
-                        for x in range(strings):
-                            one = part[x : x + length]
-                            out.append((int.from_bytes(hashlib.md5(one).digest()[:8], "big", signed=True), begin + x, 1, 0, one))
+                    if kind == SINGLE:
+                        out += [(kind, h, c, doc, begin + x, 1, 0, _digest(part[x : x + length])) for x in range(strings)]
                     else:
-                        out.append((want["h"], begin, strings, want["lead"], part))
-                h, begin, strings, lead, part = zip(*out, strict=True)
-                yield pa.record_batch(
-                    [pa.array(h, pa.int64()), pa.array([doc] * len(out), pa.int64()), pa.array(begin, pa.int64()), pa.array(strings, pa.int32()), pa.array(lead, pa.int32()), pa.array(part, pa.binary())],
-                    names=["h", "doc", "begin", "strings", "lead", "bytes"],
-                )
+                        out.append((kind, h, c, doc, begin, strings, lead, part if kind == SORT else _digest(part)))
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return docs.join(rows.hint("merge"), ["doc", "variant"]).select("doc", "text", "runs").mapInArrow(cut, "h long, doc long, begin long, strings int, lead int, bytes binary")
+    return docs.join(rows, ["doc", "variant"]).select("doc", "text", "runs").mapInArrow(cut, CONTEXT_SCHEMA)
+
+
+def later_of(rows: DataFrame, same: list[str], length: int) -> DataFrame:
+    """SPAN_SCHEMA: the bytes of rows (doc, begin, strings) that are alike in the columns same but not the first.
+
+    The first is a grouped minimum that is joined back, so very many equal rows are not one group.
+    """
+    firsts = rows.groupBy(*same).agg(F.min(F.struct("doc", "begin")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = rows.join(firsts, same).where((F.col("doc") > F.col("first.doc")) | (F.col("begin") > F.col("first.begin")))
+    return later.select("doc", F.col("begin").alias("start"), (F.col("begin") + F.col("strings") + length - 1).alias("end"))
 
 
 def sorted_repeats(rows: DataFrame, length: int) -> DataFrame:
@@ -332,6 +355,7 @@ def sorted_repeats(rows: DataFrame, length: int) -> DataFrame:
         if held:
             yield spans(pa.Table.from_batches(held))
 
+    rows = rows.select("h", "doc", "begin", "strings", "lead", "bytes")
     return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, SPAN_SCHEMA)
 
 
@@ -367,31 +391,41 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
         raise ValueError(f"strings of {K} bytes or fewer have no anchor")
     last = F.lit((1 << 63) - 1)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # texts join by sort-merge at every size, so that a small input shows the plan of a large one
+    base = base.withColumn("m", F.concat(F.md5("text"), F.sha1("text")))
     # whole copies of an earlier text: every byte goes, and no other text needs them
-    slim = base.where(F.octet_length("text") >= length).select("doc", F.md5("text").alias("m"))
+    slim = base.where(F.octet_length("text") >= length).select("doc", "m")
     firsts = slim.groupBy("m").agg(F.min("doc").alias("first"), F.count("*").alias("c")).where("c > 1")
-    copies = slim.join(firsts, "m").where("doc <> first").select("doc", "m").distinct()
+    firsts = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    copies = slim.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).join(firsts, ["m", "salt"]).where("doc <> first").select("doc", "m").distinct()
     # further texts of one doc_id are told apart by number
-    others = base.select("doc", F.md5("text").alias("m")).distinct().withColumn("variant", F.row_number().over(W.partitionBy("doc").orderBy("m")).cast("long") - 1)
+    shared = base.groupBy("doc").agg(F.min(F.xxhash64("m")).alias("lo"), F.max(F.xxhash64("m")).alias("hi")).where("lo <> hi").select("doc")
+    others = base.select("doc", "m").join(shared, "doc").distinct().withColumn("variant", F.row_number().over(W.partitionBy("doc").orderBy("m")).cast("long") - 1)
     known = copies.withColumn("copy", F.lit(True)).join(others.where("variant > 0"), ["doc", "m"], "full_outer")
     known = stored(known.select("doc", "m", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("variant", F.lit(0)).alias("variant")))
-    tagged = base.withColumn("m", F.md5("text")).join(known.hint("merge"), ["doc", "m"], "left")
-    tagged = tagged.withColumns({"copy": F.coalesce("copy", F.lit(False)), "variant": F.coalesce("variant", F.lit(0))})
+    tagged = base.join(known, ["doc", "m"], "left").select("doc_id", "doc", "text", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("variant", F.lit(0)).alias("variant"))
+    tagged = stored(tagged)
     texts = tagged.where(~F.col("copy")).select("doc", "text", "variant")
     by_context = W.partitionBy("h", "c").orderBy("doc", "begin")
     by_anchor = W.partitionBy("h")
-    found = (
-        runs(texts, length)
-        .withColumn("_first", F.struct(F.first("doc").over(by_context).alias("d"), F.first("begin").over(by_context).alias("b")))
-        .withColumns({"_later": F.col("known") | (F.col("doc") > F.col("_first.d")) | (F.col("begin") > F.col("_first.b")), "_n": F.row_number().over(by_context)})
-        .withColumns({"_lo": F.min("c").over(by_anchor), "_hi": F.max("c").over(by_anchor), "_c": F.count("*").over(by_anchor)})
-        .where("_later or (_lo <> _hi and _n = 1)")
+    found = runs(texts, length).withColumns({"_n": F.row_number().over(by_context), "_more": F.lead("doc").over(by_context).isNotNull()})
+    found = found.withColumns({"_lo": F.min("c").over(by_anchor), "_hi": F.max("c").over(by_anchor), "_c": F.count("*").over(by_anchor)})
+    # of each class of runs the first is compared with other contexts of its anchor, and all with each other
+    kinds = F.array_compact(
+        F.array(
+            F.when(~F.col("known") & (F.col("_n") == 1) & (F.col("_lo") != F.col("_hi")), F.when(F.col("_c") > HOT_ANCHOR, SINGLE).otherwise(SORT)),
+            F.when(~F.col("known") & ((F.col("_n") > 1) | F.col("_more")), VERIFY),
+        )
     )
-    found = stored(found.select("h", "doc", "begin", "strings", "lead", "_later", (F.col("_c") > HOT_ANCHOR).alias("hot")))
-    whole = found.where("_later").select("doc", F.col("begin").alias("start"), (F.col("begin") + F.col("strings") + length - 1).alias("end"))
-    unclear = found.where("not _later").drop("_later")
-    parts = stored(sorted_repeats(contexts(texts, unclear, length), length))
+    found = found.select("h", "c", "doc", "begin", "strings", "lead", "known", kinds.alias("kinds")).where("known or size(kinds) > 0")
+    found = stored(found)
+    whole = found.where("known").select("doc", F.col("begin").alias("start"), (F.col("begin") + F.col("strings") + length - 1).alias("end"))
+    wanted = found.where("not known").withColumn("kind", F.explode("kinds")).drop("known", "kinds")
+    cut_out = stored(contexts(texts, wanted, length))
+    parts = sorted_repeats(cut_out.where(F.col("kind") == SORT), length)
+    single = later_of(cut_out.where(F.col("kind") == SINGLE), ["bytes"], length)
+    equal = later_of(cut_out.where(F.col("kind") == VERIFY), ["h", "c", "bytes"], length)
+    parts = stored(parts.union(single).union(equal))
+    discard(cut_out)
     variant = F.expr(f"start div {VARIANT}L")
     places = [(F.col(k) - variant * VARIANT).alias(k) for k in ("start", "end")]
     spans = whole.union(parts).groupBy("doc", variant.alias("variant")).agg(F.collect_list(F.struct(*places)).alias("spans"))  # of one document
@@ -411,5 +445,5 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
             types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types], names=names)
 
-    marked = tagged.join(spans.hint("merge"), ["doc", "variant"], "left")
+    marked = tagged.join(spans, ["doc", "variant"], "left")
     return marked.select("doc_id", "text", "spans", "copy").mapInArrow(finish, REST_SCHEMA)
