@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import scratch_dir, stored
+from tessera.sources.scratch import discard, scratch_dir, stored
 
-__all__ = ["scratch_dir", "stored", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles", "by_group", "deal_blocks"]
+__all__ = ["scratch_dir", "stored", "discard", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles", "by_group", "deal_blocks"]
 
 #: A word is a run of anything but ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -157,18 +157,30 @@ def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def deal_blocks(rows: DataFrame, group: str, member: str, size: Column, most: int, most_bytes: int) -> DataFrame:
-    """rows with block, one and two: the blocks of the group that a task compares (equal for
-    a single block).
+def deal_blocks(rows: DataFrame, group: str, member: str, component: str, size: Column, most: int, most_bytes: int) -> DataFrame:
+    """rows with block, one and two: the blocks of the group whose members a task compares
+    (equal for the inside of a block).
 
-    A group of more than most members or most_bytes of size is dealt by hash into blocks of
-    about half that, and a member goes to every pair of blocks that has its own.  A group of
-    one member gives no rows.
+    Members of one component need no comparison, so a group of one component gives no rows.
+    In others the component with the most members is home.  Home and the rest are dealt by
+    hash into blocks of at most half of most members and most_bytes of size; a rest member
+    goes to every pair of blocks that has its own, a home member to those with a rest block.
+    So a large home and few others cost no more than the home's blocks.
     """
-    counts = rows.groupBy(group).agg(F.count("*").alias("__c"), F.sum(size).alias("__b")).where("__c > 1")
-    half = F.greatest(F.ceil(2 * F.col("__c") / most), F.ceil(2 * F.col("__b") / most_bytes))
-    single = (F.col("__c") <= most) & (F.col("__b") <= most_bytes)
-    rows = rows.join(counts, group).withColumn("__n", F.when(single, 1).otherwise(F.least(half, F.col("__c"))).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64(member), F.col("__n")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("__n") - 1), lambda x: F.struct(F.least("block", x).alias("one"), F.greatest("block", x).alias("two")))
-    return rows.withColumn("__p", F.explode(pairs)).withColumns({"one": F.col("__p.one"), "two": F.col("__p.two")}).drop("__c", "__b", "__n", "__p")
+    sizes = rows.groupBy(group, component).agg(F.count("*").alias("__c"), F.sum(size).alias("__b"))
+    homes = sizes.groupBy(group).agg(
+        F.max(F.struct("__c", "__b", component)).alias("__home"), F.sum("__c").alias("__c"), F.sum("__b").alias("__b"), F.count("*").alias("__k")
+    ).where("__k > 1")
+    blocks = lambda c, b: F.greatest(F.ceil(2 * c / most), F.least(F.ceil(2 * b / most_bytes), c), F.lit(1)).cast("int")
+    rest = F.col("__c") - F.col("__home.__c"), F.col("__b") - F.col("__home.__b")
+    homes = homes.select(
+        group, F.col(f"__home.{component}").alias("__at_home"), blocks(*rest).alias("__rest"), blocks(F.col("__home.__c"), F.col("__home.__b")).alias("__own"),
+        ((F.col("__c") <= most) & (F.col("__b") <= most_bytes)).alias("__single"),
+    )
+    rows = rows.join(homes, group).withColumn("__in", F.col(component) == F.col("__at_home"))
+    place = F.when(F.col("__in"), F.col("__rest") + F.pmod(F.xxhash64(member), F.col("__own"))).otherwise(F.pmod(F.xxhash64(member), F.col("__rest")))
+    rows = rows.withColumn("block", F.when(F.col("__single"), 0).otherwise(place).cast("int"))
+    last = F.when(F.col("__single"), 0).when(F.col("__in"), F.col("__rest") - 1).otherwise(F.col("__rest") + F.col("__own") - 1)
+    pairs = F.transform(F.sequence(F.lit(0), last), lambda x: F.struct(F.least("block", x).alias("one"), F.greatest("block", x).alias("two")))
+    rows = rows.withColumn("__p", F.explode(pairs)).withColumns({"one": F.col("__p.one"), "two": F.col("__p.two")})
+    return rows.drop("__at_home", "__rest", "__own", "__single", "__in", "__p")

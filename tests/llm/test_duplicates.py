@@ -37,6 +37,22 @@ def test_substrings_long_text_in_pieces(spark, monkeypatch):
     assert found_repeats(frame(spark, data), 100) == removed_repeats(data, 100)
 
 
+def test_substrings_verify_what_hashes_propose(spark, monkeypatch):
+    """Hashes that make any two runs of one anchor look equal remove nothing that differs."""
+    same = sd._runs_of
+
+    def careless(data, offsets, length):
+        row, h, c, begin, count, lead = same(data, offsets, length)
+        return row, h, np.full_like(c, 7), begin, count, lead
+
+    monkeypatch.setattr(sd, "_runs_of", careless)
+    middle = "the very same forty bytes or some more of them here " * 2
+    data = [(i, f"{i}" * 60 + middle + f"{chr(97 + i)}" * 60, "", "", 0) for i in range(6)]
+    got = {r.doc_id: r.n_removed for r in sd.remove_repeats(frame(spark, data), 100).collect()}
+    wanted = {d: n for d, _, n, _, _ in removed_repeats(data, 100)}
+    assert all(got[d] <= wanted[d] for d in got) and wanted[5] > 0
+
+
 def test_suffix_order():
     rng = random.Random(13)
     data = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(900)), np.uint8)
@@ -78,7 +94,18 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
         for _ in range(rng.choice([0, 1, 2, 4, 8, 16])):
             text[rng.randrange(300)] = f"n{rng.randrange(10**6)}"
         data.append((i, " ".join(text), "", "", 0))
-    assert found_components(frame(spark, data), 3, 85) == near_components(data, 3, 85)
+    wanted = near_components(data, 3, 85)
+    assert found_components(frame(spark, data), 3, 85) == wanted
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 8_000)
+    monkeypatch.setattr(nd, "STAR", 4)
+    assert found_components(frame(spark, data), 3, 85) == wanted
+
+
+def test_near_duplicates_exact(spark):
+    """Nothing is estimated: whole sets make the lists."""
+    data = rows(17)
+    got = nd.near_duplicates(frame(spark, data), nd.NearSpec(3, 85, miss=0)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_components(data, 3, 85)
 
 
 def test_near_duplicates_null_ids(spark):
@@ -89,7 +116,7 @@ def test_near_duplicates_null_ids(spark):
 
 
 def test_thresholds_are_safe():
-    assert nd.least_shared(32, 0.85) == 15 and nd.least_shared(128, 0.8) < 0.8 * 128
+    assert nd.least_shared(32, 0.85, nd.MISS) == 15 and nd.least_shared(128, 0.8, nd.MISS) < 0.8 * 128
     a, b = (np.arange(k, k + 128, dtype=np.uint32) for k in (0, 10))
-    floor = nd.least_shared(128, 0.8)
+    floor = nd.least_shared(128, 0.8, nd.MISS)
     assert nd._estimate(a, b, 0.8, floor) and not nd._estimate(a, np.arange(100, 228, dtype=np.uint32), 0.8, floor)
