@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import CHUNK_BYTES, WORD_PATTERN, by_group, deal_blocks, mix64, powers, stored, text_chunks
+from tessera.llm.common import CHUNK_BYTES, WORD_PATTERN, by_group, deal_blocks, discard, mix64, powers, stored, text_chunks
 from tessera.operators.graph import connected_components
 
 TAU = 2
@@ -177,6 +177,7 @@ def cross_links(groups: DataFrame, texts: DataFrame, found: DataFrame, tau: int,
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_group(batches, ["key", "one", "two"]):
             line, comp, block = (table.column(c).to_numpy() for c in ("line", "component", "block"))
+            one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
             own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False)
             body = table.column("text").to_pylist()
             classes = np.concatenate([count_classes(data, offsets) for _, _, data, offsets in text_chunks(table.column("text"))])
@@ -184,7 +185,7 @@ def cross_links(groups: DataFrame, texts: DataFrame, found: DataFrame, tau: int,
             for x in range(len(line) - 1):
                 y = np.arange(x + 1, len(line))
                 y = y[(comp[y] != comp[x]) & (own[y] | own[x])]
-                if block[0] != block[-1]:
+                if one != two:
                     y = y[block[y] != block[x]]  # a block against itself is another task's work
                 y = y[_near_counts(classes[y], classes[x], tau)]
                 for z in y.tolist():
@@ -195,11 +196,12 @@ def cross_links(groups: DataFrame, texts: DataFrame, found: DataFrame, tau: int,
 
     members = groups.select("key", "line", "own").union(groups.select("key", F.col("head").alias("line"), F.lit(True).alias("own"))).groupBy("key", "line").agg(F.max("own").alias("own"))
     placed = members.join(found.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
-    placed = stored(placed)
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rows = placed.join(mixed, "key").join(texts, "line")
-    dealt = deal_blocks(rows, "key", "line", F.octet_length("text"), BLOCK_LINES, BLOCK_BYTES)
-    return dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "block").mapInArrow(meet, PAIR_SCHEMA).distinct()
+    placed = stored(placed.join(mixed, "key", "left_semi").join(texts.select("line", F.octet_length("text").alias("size")), "line"))
+    dealt = deal_blocks(placed, "key", "line", "component", F.col("size"), BLOCK_LINES, BLOCK_BYTES).join(texts, "line")
+    out = stored(dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "block").mapInArrow(meet, PAIR_SCHEMA).distinct())
+    discard(placed)
+    return out
 
 
 def edit_distance_within(a: str, b: str, tau: int) -> int | None:
@@ -293,8 +295,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", tau: i
     texts = stored(texts.select("line", "first.check", "first.text"))
     first = groups.select(F.least("head", "line").alias("src"), F.greatest("head", "line").alias("dst")).distinct()
     links = stored(linked_lines(first, texts, tau, ratio))
-    found = stored(connected_components(links))
-    more = stored(cross_links(groups, texts.select("line", "text"), found, tau, ratio))
+    round_one = stored(connected_components(links))
+    more = cross_links(groups, texts.select("line", "text"), round_one, tau, ratio)
     found = connected_components(links.union(more))
     # of two lines with one number only that whose text was compared is in a class
     found = stored(found.join(texts.select("line", "check"), found["node"] == texts["line"]).select("line", "check", "component"))
@@ -306,6 +308,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", tau: i
     gone = occurrences.join(stays, ["line", "check"]).where((F.col("doc") != F.col("head.doc")) | (F.col("no") != F.col("head.no")))
     gone = gone.groupBy("doc", "th").agg(F.sort_array(F.collect_set("no")).alias("gone"))  # line numbers of one document
     gone = stored(gone.withColumnsRenamed({"doc": "__doc", "th": "__th", "gone": "__gone"}))
+    discard(occurrences, lines, groups, texts, links, round_one, more, found)
     out = docs.drop("n_lines", "n_removed").withColumns({"__own": own, "__hash": F.xxhash64(text)})
     out = out.join(gone, (F.col("__own") == F.col("__doc")) & (F.col("__hash") == F.col("__th")), "left")
     out = out.withColumn("__lines", F.split(F.col(text), "\n"))
