@@ -3,7 +3,8 @@
 Vectors are coded by 4 bits per subspace.  Training and coding weigh the part of the
 residual that is parallel to the vector more than the rest, since only that part changes
 high inner products.  A query's table of 16 products per subspace scores all codes; the
-best are reranked by exact inner products.
+best are reranked by exact inner products.  Each row goes to one block with its code, and the
+queries, of which there are fewer, pass by all blocks.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -26,7 +26,7 @@ class AnnSpec:
     """k results per query; sample: vectors that fit the codebooks at most (all vectors are
     indexed); dims: dimensions per subspace; threshold: inner products of unit vectors
     from which errors matter; rerank: candidates per query and block of rows of which the
-    exact products are taken; query_block and row_block: queries and rows that one task scans.
+    exact products are taken; row_block: rows that one task scans.
     """
 
     k: int = 20
@@ -34,9 +34,8 @@ class AnnSpec:
     dims: int = 1
     threshold: float = 0.2
     rounds: int = 8
-    rerank: int = 2_048
-    query_block: int = 1_024
-    row_block: int = 65_536
+    rerank: int = 256
+    row_block: int = 16_384
     seed: int = 11
 
 
@@ -125,37 +124,43 @@ def pack_codes(codes: np.ndarray) -> np.ndarray:
     return codes[:, ::2] | codes[:, 1::2] << 4
 
 
-def scan(
-    book: Codebook, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, packed: np.ndarray, vectors: np.ndarray, rerank: int, keep: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """(query row, id) of each query's keep nearest but itself, ties to smaller ids.
-
-    All codes are scored: the tables of two subspaces make one of 256 sums, looked up by a
-    byte of the codes.  The rerank best of them are ranked by their exact products.
-    """
-    tables = book.tables(queries).astype(np.float32)
-    if tables.shape[1] % 2:
-        tables = np.concatenate([tables, np.zeros((len(tables), 1, 16), np.float32)], 1)
-    pairs = (tables[:, 1::2, :, None] + tables[:, ::2, None, :]).reshape(len(queries), -1, 256)
-    out_q, out_id = [], []
-    by = np.argsort(ids, kind="stable")
-    ids, vectors, columns = ids[by], vectors[by], np.ascontiguousarray(packed[by].T)
-    for q in range(len(queries)):
-        scores = np.zeros(len(ids), np.float32)
-        for j, column in enumerate(columns):
-            scores += pairs[q, j].take(column)
-        scores[ids == own[q]] = -np.inf
-        k = min(rerank, len(ids))
-        edge = np.partition(scores, len(ids) - k)[len(ids) - k]
-        best = np.flatnonzero(scores > edge)
-        best = np.concatenate([best, np.flatnonzero(scores == edge)[: k - len(best)]])
-        best = np.sort(best[scores[best] > -np.inf])
-        # row by row, so that equal vectors have equal products; the order by id breaks ties
-        exact = (vectors[best] * queries[q]).sum(1)
-        best = best[np.argsort(-exact, kind="stable")[:keep]]
-        out_q.append(np.full(len(best), q))
-        out_id.append(ids[best])
-    return np.concatenate(out_q), np.concatenate(out_id)
+class Block:
+    """Rows that queries pass by: ids ascending, codes by column, vectors as they are."""
+
+    def __init__(self, ids: np.ndarray, packed: np.ndarray, vectors: np.ndarray):
+        by = np.argsort(ids, kind="stable")
+        self.ids, self.vectors, self.columns = ids[by], vectors[by], np.ascontiguousarray(packed[by].T)
+
+    def scan(self, book: Codebook, queries: np.ndarray, own: np.ndarray, rerank: int, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, id, inner product) of each query's keep nearest but itself, ties to smaller ids.
+
+        All codes are scored: the tables of two subspaces make one of 256 sums, looked up by a
+        byte of the codes.  The rerank best of them are ranked by their exact products.
+        """
+        ids, vectors = self.ids, self.vectors
+        tables = book.tables(queries).astype(np.float32)
+        if tables.shape[1] % 2:
+            tables = np.concatenate([tables, np.zeros((len(tables), 1, 16), np.float32)], 1)
+        pairs = (tables[:, 1::2, :, None] + tables[:, ::2, None, :]).reshape(len(queries), -1, 256)
+        out_q, out_id, out_score = [], [], []
+        for q in range(len(queries)):
+            scores = np.zeros(len(ids), np.float32)
+            for j, column in enumerate(self.columns):
+                scores += pairs[q, j].take(column)
+            scores[ids == own[q]] = -np.inf
+            k = min(rerank, len(ids))
+            edge = np.partition(scores, len(ids) - k)[len(ids) - k]
+            best = np.flatnonzero(scores > edge)
+            best = np.concatenate([best, np.flatnonzero(scores == edge)[: k - len(best)]])
+            best = np.sort(best[scores[best] > -np.inf])
+            exact = np.zeros(len(best))
+            for a, b in zip(np.ascontiguousarray(vectors[best].T), queries[q], strict=True):  # in the order of the components
+                exact += a * b
+            best, exact = (x[np.argsort(-exact, kind="stable")[:keep]] for x in (best, exact))
+            out_q.append(np.full(len(best), q))
+            out_id.append(ids[best])
+            out_score.append(exact)
+        return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score)
 
 
 def valid_vectors(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -171,19 +176,16 @@ def valid_vectors(vectors: DataFrame, key: str, column: str) -> DataFrame:
     return df.where(F.size("v") == sizes.scalar())
 
 
-def inner_product(a: Column, b: Column) -> Column:
-    """Sum of the products in double precision, in the order of the components."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
 def search(
     vectors: DataFrame, spec: AnnSpec = AnnSpec(), key: str = "vec_id", column: str = "embedding", is_query: Column | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest by inner product, of all other rows.
 
     is_query selects the queries (all rows where key % 20 = 0 by default).  Every row is
-    coded and every code is scanned for every query, in blocks: the work is queries times
-    rows by nature, and a row moves once for each block of queries.  The codebooks are fitted on the sample with the smallest hashes.
+    coded and every code is scanned for every query: the work is queries times rows by nature.
+    A row moves once, to its block; a task holds one block and streams the queries, which move
+    once for each block.  The codebooks are fitted on the sample with the smallest hashes.
+    score is the sum of the products in double precision, in the order of the components.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite
     components take no part, nor do rows with a null key.  Fewer other rows than k: all of
@@ -199,42 +201,46 @@ def search(
     if sample.empty:
         return spark.createDataFrame([], schema)
     book = train(np.stack(sample["v"].to_numpy()), spec)
-
-    n = good.count()
-    queries = stored(good.where(asked).groupBy("id").agg(F.min("v").alias("v")))
-    asks = queries.count()
-    query_blocks, row_blocks = max(1, -(-asks // spec.query_block)), max(1, -(-n // spec.row_block))
+    dim = len(sample["v"].iloc[0])
+    blocks = max(1, -(-good.count() // spec.row_block))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2_048):
                 part = batch.slice(lo, 2_048)
-                x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
-                packed = pack_codes(book.encode(x))
-                ids = part.column(0).to_numpy()
-                yield pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in (ids, packed, np.ascontiguousarray(x, np.float64))], names=["ids", "codes", "vectors"])
-
-    # ids, codes and vectors of some thousand rows as one, so that a copy per block of queries is cheap
-    rows = good.select("id", "v").mapInArrow(encode, "ids binary, codes binary, vectors binary")
-    rows = rows.withColumn("rb", F.pmod(F.xxhash64("ids"), F.lit(row_blocks)).cast("int"))
-    rows = rows.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    block = F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")
-    q = queries.select(block.alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("rb"), "id", "v")
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": []}, dtype="int64")
-        ids, codes, vectors = (b"".join(right[c]) for c in ("ids", "codes", "vectors"))
-        ids = np.frombuffer(ids, np.int64)
-        own = left["id"].to_numpy()
-        row, vec = scan(
-            book, np.stack(left["v"].to_numpy()), own, ids, np.frombuffer(codes, np.uint8).reshape(len(ids), -1), np.frombuffer(vectors, np.float64).reshape(len(ids), -1), spec.rerank, 2 * spec.k
-        )
-        return pd.DataFrame({"query_id": own[row], "vec_id": vec})
-
-    found = q.groupBy("qb", "rb").cogroup(rows.groupBy("qb", "rb")).applyInPandas(best, "query_id long, vec_id long").distinct()
-    exact = found.join(good.select(F.col("id").alias("vec_id"), F.col("v").alias("w")), "vec_id")
-    exact = exact.join(queries.select(F.col("id").alias("query_id"), "v"), "query_id").select("query_id", "vec_id", inner_product(F.col("v"), F.col("w")).alias("score"))
+                packed = pack_codes(book.encode(part.column("v").flatten().to_numpy().reshape(part.num_rows, dim)))
+                yield pa.record_batch([*part.columns, pa.array([x.tobytes() for x in packed], pa.binary())], names=["rb", "id", "v", "code"])
+
+    numbered = good.select(F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int").alias("rb"), "id", "v")
+    rows = numbered.mapInArrow(encode, "rb int, id long, v array<double>, code binary").withColumn("query", F.lit(0))
+    queries = good.where(asked).groupBy("id").agg(F.min("v").alias("v"))
+    queries = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("rb"), "id", "v", F.lit(None).cast("binary").alias("code"), F.lit(1).alias("query"))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, block = None, [], None
+        for batch in batches:
+            rb, kind = batch.column("rb").to_numpy(), batch.column("query").to_numpy()
+            cuts = np.flatnonzero((rb[1:] != rb[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rb)], strict=True):
+                if lo == hi:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                x = part.column("v").flatten().to_numpy().reshape(hi - lo, dim)
+                if rb[lo] != number:
+                    number, held, block = rb[lo], [], None
+                if kind[lo] == 0:
+                    codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(hi - lo, -1)
+                    held.append((part.column("id").to_numpy(), codes, x))
+                elif held or block is not None:
+                    if block is None:
+                        block, held = Block(*map(np.concatenate, zip(*held, strict=True))), []
+                    own = part.column("id").to_numpy()
+                    for at in range(0, len(own), 256):  # some queries' tables at a time
+                        q, vec, score = block.scan(book, x[at : at + 256], own[at : at + 256], spec.rerank, spec.k)
+                        yield pa.record_batch([pa.array(own[at + q]), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    both = rows.unionByName(queries).repartition("rb").sortWithinPartitions("rb", "query")
+    found = both.mapInArrow(best, "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = exact.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= spec.k)
+    ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= spec.k)
     return ranked.select("query_id", "rank", "vec_id", "score")

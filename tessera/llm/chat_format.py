@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -23,26 +24,63 @@ from tessera.llm.common import stored
 TURN_TOOLS = {
     "reply": {
         "type": "object",
-        "properties": {"turn": {"type": "integer", "minimum": 0}, "prompt": {"type": "string", "minLength": 1}},
+        "properties": {"turn": {"type": "integer", "minimum": 0}, "prompt": {"type": "string", "minLength": 1}, "after": {"type": "object"}},
         "required": ["turn", "prompt"],
         "additionalProperties": False,
     }
 }
 
 
-def canonical(value: Any) -> str:
-    """JSON without spaces, keys sorted by UTF-16 units, integral floats as integers."""
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def _quoted(text: str) -> str:
+    """A JSON string; half of a surrogate pair, which no encoding holds, stays an escape."""
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", json.dumps(text, ensure_ascii=False))
 
-    def plain(x: Any) -> Any:
-        if isinstance(x, dict):
-            return {k: plain(x[k]) for k in sorted(x, key=lambda k: k.encode("utf-16-be", "surrogatepass"))}
-        if isinstance(x, list):
-            return [plain(y) for y in x]
-        if isinstance(x, float) and x.is_integer() and abs(x) < 1e15:
-            return int(x)
-        return x
 
-    return json.dumps(plain(value), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+def _whole(text: str | None) -> str | None:
+    """Text for a column: half of a surrogate pair becomes U+FFFD."""
+    return None if text is None else _LONE.sub("\ufffd", text)
+
+
+def _number(x: float) -> str:
+    """The shortest digits that give x: plain from 1e-6 up to below 1e21, else with an exponent."""
+    if not math.isfinite(x):
+        raise ValueError("not a JSON number")
+    if x == 0:
+        return "0"
+    sign, digits, exponent = ("-" if x < 0 else ""), *f"{abs(x)!r}e0".split("e")[:2]
+    whole, _, rest = digits.partition(".")
+    rest = "" if rest == "0" else rest
+    point = len(whole) + int(exponent)
+    digits = whole + rest
+    point -= len(digits) - len(digits.lstrip("0"))
+    digits = digits.strip("0")
+    if len(digits) <= point <= 21:
+        return sign + digits + "0" * (point - len(digits))
+    if 0 < point <= 21:
+        return f"{sign}{digits[:point]}.{digits[point:]}"
+    if -6 < point <= 0:
+        return f"{sign}0.{'0' * -point}{digits}"
+    mantissa = digits[0] + (f".{digits[1:]}" if digits[1:] else "")
+    return f"{sign}{mantissa}e{'+' if point > 0 else '-'}{abs(point - 1)}"
+
+
+def canonical(value: Any) -> str:
+    """JSON without spaces, keys sorted by UTF-16 units; equal numbers are written alike:
+    integers in full, others by _number().
+    """
+    if isinstance(value, dict):
+        order = sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
+        return "{" + ",".join(f"{_quoted(k)}:{canonical(value[k])}" for k in order) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(canonical, value)) + "]"
+    if isinstance(value, str):
+        return _quoted(value)
+    if isinstance(value, float):
+        return _number(value)
+    return json.dumps(value)
 
 
 _TYPES = {
@@ -135,13 +173,13 @@ def _parse(role: str | None, text: str | None, tools: dict) -> Iterator[tuple]:
             ident = call.get("id")
             if not isinstance(ident, str):
                 ident, errors = None, ["no id", *errors]
-            yield "call", ident, name if isinstance(name, str) else None, body, references(args), errors
+            yield "call", _whole(ident), _whole(name) if isinstance(name, str) else None, body, [_whole(x) for x in references(args)], [_whole(x) for x in errors]
     elif role == "tool" and isinstance(data, dict) and isinstance(data.get("tool_call_id"), str):
         try:
             body = canonical(data.get("content"))
         except (ValueError, RecursionError):
             body = "null"
-        yield "result", data["tool_call_id"], None, body, [], []
+        yield "result", _whole(data["tool_call_id"]), None, body, [], []
     else:
         yield "text", None, None, canonical(text), [], []
 
@@ -167,68 +205,64 @@ def turns_as_calls(conversations: DataFrame) -> DataFrame:
     """Messages in which each user turn is asked of the tool reply, and the assistant's next
     turn is its result: how a plain conversation becomes a tool-use one.
 
-    A call's identifier is c<conv>-<turn>; from the second exchange on its prompt is the
-    turn's text, and the call depends on no other.  System turns stay as they are, a null
+    A call's identifier is c<conv>-<turn>.  Logs of tool use are not always in order, so of
+    sixteen numbers that follow from conversation and turn six stand for a flaw.  Calls: 1 an
+    argument out of its bounds, 3 a reference to the result of the next exchange, 5 the
+    identifier of the exchange before, 7 a reference to its own result.  Results: 2 an
+    identifier of no call, 4 a place before the call.  System turns stay as they are, a null
     turn or conversation too.
     """
-    ident = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
-    call = F.to_json(
-        F.struct(
-            F.array(
-                F.struct(
-                    ident(F.col("turn")).alias("id"),
-                    F.lit("reply").alias("name"),
-                    F.struct(F.col("turn"), F.coalesce("text", F.lit("")).alias("prompt")).alias("arguments"),
-                )
-            ).alias("tool_calls")
-        )
+    ident = lambda back: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") + F.lit(back)).cast("string"))
+    flaw = F.pmod(31 * F.col("conv_id") + 7 * F.col("turn"), F.lit(16))
+    after = F.when(flaw == 3, ident(2)).when(flaw == 7, ident(0))
+    # to_json leaves null fields out
+    arguments = F.struct(
+        F.when(flaw == 1, F.lit(-1)).otherwise(F.col("turn")).alias("turn"),
+        F.coalesce("text", F.lit("")).alias("prompt"),
+        F.when(after.isNotNull(), F.struct(after.alias("$result"))).alias("after"),
     )
-    result = F.to_json(F.struct(ident(F.col("turn") - 1).alias("tool_call_id"), F.coalesce("text", F.lit("")).alias("content")))
+    call = F.to_json(F.struct(F.array(F.struct(F.when(flaw == 5, ident(-2)).otherwise(ident(0)).alias("id"), F.lit("reply").alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
+    nobody = F.concat(F.lit("x"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    result = F.to_json(F.struct(F.when(flaw == 2, nobody).otherwise(ident(-1)).alias("tool_call_id"), F.coalesce("text", F.lit("")).alias("content")))
     whole = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     asks, answers = whole & (F.col("role") == "user"), whole & (F.col("role") == "assistant")
     return conversations.select(
         "conv_id",
-        "turn",
+        F.when(answers & (flaw == 4), F.col("turn") - 2).otherwise(F.col("turn")).alias("turn"),
         F.when(asks, "assistant").when(answers, "tool").otherwise(F.col("role")).alias("role"),
         F.when(asks, call).when(answers, result).otherwise(F.col("text")).alias("text"),
     )
 
 
-def _order(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """rows with order_turn and order_depth: their own turn and part, moved behind what they
-    depend on.
+def _order(linked: DataFrame, edges: DataFrame) -> DataFrame | None:
+    """(row, at: struct(t, d), cyclic) of the events of conversations in which one stands
+    before what it depends on; None if there are none.
 
-    edges: (uid before, uid after).  Only events that stand before one they depend on move,
-    so a log in order needs no round.  Every round moves them behind their latest
-    predecessor; a chain of n events out of order takes n rounds.  The events of a cycle
-    have no such order: they move on for ever, are found by a depth beyond the number of
-    the conversation's events, and stay where they were.
+    linked: (row, conv_id, turn, part); edges: (conv_id, before row, after row).  An event's
+    place is its own turn and part, or behind the latest place of those it depends on,
+    directly or not: the greatest of (turn, part + number of steps) over all paths to it.
+    Paths are doubled, so a chain of n events takes log2(n) rounds; a round holds, for each
+    event, those it depends on over 2 ** k steps.  A path of as many steps as there are
+    events goes round a cycle: what such a path leads to has no order and stays in its place.
     """
-    keys = stored(rows.select("uid", "conv_id", F.col("turn").alias("t"), F.col("part").alias("d")))
-    edges = stored(edges)
-    counts = stored(rows.where("kind <> 'text'").groupBy("conv_id").agg((F.count("*") + F.max("part") + 1).alias("bound")))
-    stuck = None
-    while True:
-        a, b = keys.alias("a"), keys.alias("b")
-        late = edges.join(a, edges["before"] == F.col("a.uid")).join(b, edges["after"] == F.col("b.uid"))
-        late = late.where("a.t > b.t or (a.t = b.t and a.d >= b.d)")
-        if stuck is not None:
-            late = late.join(stuck, F.col("after") == stuck["uid"], "left_anti")
-        moves = stored(late.groupBy(F.col("after").alias("m")).agg(F.max(F.struct(F.col("a.t").alias("t"), (F.col("a.d") + 1).alias("d"))).alias("to")))
-        if moves.isEmpty():
-            break
-        keys = keys.join(moves, keys["uid"] == moves["m"], "left").select("uid", "conv_id", F.coalesce("to.t", "t").alias("t"), F.coalesce("to.d", "d").alias("d"))
-        keys = stored(keys)
-        over = keys.join(counts, "conv_id").where("d > bound").select("uid")
-        stuck = stored(over if stuck is None else over.union(stuck).distinct())
-    keys = keys.select("uid", F.col("t").alias("order_turn"), F.col("d").alias("order_depth"))
-    out = rows.join(keys, "uid", "left")
-    if stuck is not None:
-        out = out.join(stuck.withColumn("cyclic", F.lit(True)), "uid", "left")
-        cyclic = F.coalesce("cyclic", F.lit(False))
-        out = out.withColumns({"order_turn": F.when(cyclic, F.col("turn")).otherwise(F.col("order_turn")), "order_depth": F.when(cyclic, F.col("part")).otherwise(F.col("order_depth"))})
-        return out.withColumn("cyclic", cyclic)
-    return out.withColumn("cyclic", F.lit(False))
+    own = linked.select("row", "conv_id", F.struct(F.col("turn").alias("t"), F.col("part").alias("d")).alias("at"))
+    a, b = own.select(F.col("row").alias("before"), F.col("at").alias("x")), own.select(F.col("row").alias("after"), F.col("at").alias("y"))
+    late = stored(edges.join(a, "before").join(b, "after").where("x >= y").select("conv_id").distinct(), small=True)
+    if late.isEmpty():
+        return None
+    steps, jumps = 1, stored(edges.join(late, "conv_id", "left_semi").select("before", "after").distinct())
+    keys = stored(own.join(late, "conv_id", "left_semi"))
+    most = keys.groupBy("conv_id").count().agg(F.max("count")).first()[0]
+    keys = keys.select("row", "at", F.col("at").alias("own"))
+    while not jumps.isEmpty() and steps < 2 * most:
+        far = jumps.join(keys.select(F.col("row").alias("before"), "at"), "before")
+        far = far.groupBy(F.col("after").alias("row")).agg(F.max(F.struct(F.col("at.t").alias("t"), (F.col("at.d") + steps).cast("int").alias("d"))).alias("to"))
+        keys = stored(keys.join(far, "row", "left").select("row", F.greatest("at", "to").alias("at"), "own"))
+        jumps = stored(jumps.alias("p").join(jumps.alias("q"), F.col("p.after") == F.col("q.before")).select("p.before", "q.after").distinct())
+        steps *= 2
+    stuck = jumps.select(F.col("after").alias("row")).distinct().withColumn("stuck", F.lit(True))
+    out = keys.join(stuck, "row", "left").withColumn("cyclic", F.coalesce("stuck", F.lit(False)))
+    return out.select("row", F.when(F.col("cyclic"), F.col("own")).otherwise(F.col("at")).alias("at"), "cyclic")
 
 
 def format_chat(messages: DataFrame, tools: dict | None = None) -> DataFrame:
@@ -240,41 +274,51 @@ def format_chat(messages: DataFrame, tools: dict | None = None) -> DataFrame:
     messages: (conv_id, turn, role, text).  An assistant text of the form
     {"tool_calls": [{"id", "name", "arguments"}], "content"} holds calls, a tool text of the
     form {"tool_call_id", "content"} a result; any other text is a text.  Status of a call:
-    ok, invalid (arguments do not fit the tool's schema, or unknown tool), unanswered,
-    duplicate (an identifier that an earlier call of the conversation has) or cyclic; of a
-    result: ok, orphan (no such call) or duplicate (not the first for its call).
+    duplicate (an identifier that an earlier call of the conversation has), cyclic (it waits
+    for itself), invalid (arguments do not fit the tool's schema, or unknown tool), unanswered
+    or ok; of a result: orphan (no such call), duplicate (not the first for its call), cyclic
+    or ok.
 
     Null text is JSON null, a null role is kept, a null turn sorts first and a null
-    conv_id is a conversation whose calls and results are not linked.  Repeated messages are
-    duplicates.  Ties within a turn go by part, then by JSON.  No rows give no rows; other
-    columns are not read.
+    conv_id is a conversation whose calls and results are not linked.  Of repeated messages
+    one is the first and the others are duplicates.  Ties within a turn go by part, then by
+    a hash.  Half of a surrogate pair stays an escape in JSON and is U+FFFD in identifiers.  No
+    rows give no rows; other columns are not read.
     """
     tools = TURN_TOOLS if tools is None else tools
-    rows = stored(events(messages, tools).withColumn("salt", F.xxhash64("conv_id", "turn", "part", "role", "call_id", "body")))
-    rows = rows.withColumn("uid", F.sha2(F.concat_ws("|", "conv_id", "turn", "part", "salt"), 256))
-    place = F.struct("turn", "part", "salt")
+    salt = F.xxhash64("conv_id", "turn", "part", "role", "call_id", "body")
+    rows = stored(events(messages, tools).withColumns({"salt": salt, "row": F.monotonically_increasing_id()}))
+    place = F.struct("turn", "part", "salt", "row")
     linked = rows.where("call_id is not null and conv_id is not null")
     ends = linked.groupBy("conv_id", "call_id").agg(
-        F.min(F.when(F.col("kind") == "call", F.struct(place.alias("at"), F.col("uid")))).alias("call"),
-        F.min(F.when(F.col("kind") == "result", F.struct(place.alias("at"), F.col("uid")))).alias("result"),
+        F.min(F.when(F.col("kind") == "call", place)).alias("call"),
+        F.min(F.when(F.col("kind") == "result", place)).alias("result"),
     )
-    ends = stored(ends.select("conv_id", "call_id", F.col("call.uid").alias("call_uid"), F.col("result.uid").alias("result_uid")))
-    answered = ends.where("call_uid is not null and result_uid is not null")
-    refs = linked.where("kind = 'call' and size(refs) > 0").select("conv_id", F.col("uid").alias("after"), F.explode("refs").alias("call_id"))
-    edges = answered.select(F.col("call_uid").alias("before"), F.col("result_uid").alias("after")).union(
-        refs.join(answered, ["conv_id", "call_id"]).select(F.col("result_uid").alias("before"), "after")
+    ends = stored(ends.select("conv_id", "call_id", F.col("call.row").alias("call_row"), F.col("result.row").alias("result_row")))
+    answered = ends.where("call_row is not null and result_row is not null")
+    refs = linked.where("kind = 'call' and size(refs) > 0").select("conv_id", F.col("row").alias("after"), F.explode("refs").alias("call_id"))
+    # identifiers are hashed; their table has a row for each, so it is the side that is built
+    edges = answered.select("conv_id", F.col("call_row").alias("before"), F.col("result_row").alias("after")).union(
+        refs.join(answered.hint("shuffle_hash"), ["conv_id", "call_id"]).select("conv_id", F.col("result_row").alias("before"), "after")
     )
-    # copies of one event have one uid and move together
-    ordered = _order(rows.dropDuplicates(["uid"]), edges).select("uid", "order_turn", "order_depth", "cyclic")
-    out = rows.join(ordered, "uid").join(ends, ["conv_id", "call_id"], "left")
-    first = F.coalesce(F.col("uid") == F.when(F.col("kind") == "call", F.col("call_uid")).otherwise(F.col("result_uid")), F.lit(False))
+    moved = _order(linked.select("row", "conv_id", "turn", "part"), edges)
+    texts = rows.where("call_id is null or conv_id is null").withColumns({"call_row": F.lit(None).cast("long"), "result_row": F.lit(None).cast("long")})
+    out = texts.unionByName(linked.join(ends.hint("shuffle_hash"), ["conv_id", "call_id"], "left"))
+    if moved is None:
+        out = out.withColumns({"order_turn": F.col("turn"), "order_depth": F.col("part"), "cyclic": F.lit(False)})
+    else:
+        out = out.join(moved, "row", "left")
+        own = F.struct(F.col("turn").alias("t"), F.col("part").alias("d"))
+        out = out.withColumns({"at": F.coalesce("at", own), "cyclic": F.coalesce("cyclic", F.lit(False))})
+        out = out.withColumns({"order_turn": F.col("at.t"), "order_depth": F.col("at.d")})
+    first = F.coalesce(F.col("row") == F.when(F.col("kind") == "call", F.col("call_row")).otherwise(F.col("result_row")), F.lit(False))
     status = (
         F.when(F.col("kind") == "text", "ok")
-        .when((F.col("kind") == "result") & F.col("call_uid").isNull(), "orphan")
+        .when((F.col("kind") == "result") & F.col("call_row").isNull(), "orphan")
         .when(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & ~first, "duplicate")
         .when(F.col("cyclic"), "cyclic")
         .when(F.size("errors") > 0, "invalid")
-        .when((F.col("kind") == "call") & F.col("result_uid").isNull(), "unanswered")
+        .when((F.col("kind") == "call") & F.col("result_row").isNull(), "unanswered")
         .otherwise("ok")
     )
     out = out.withColumn("status", status)

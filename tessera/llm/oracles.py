@@ -127,8 +127,51 @@ p AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good >= 0.5 AS kept, array_to_string(votes, ',') AS votes, round(good, 6) AS good_probability FROM p
 """
 
+CHAT = """
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, text, coalesce(text, '') AS body, ((31 * conv_id + 7 * turn) % 16 + 16) % 16 AS flaw,
+    conv_id IS NOT NULL AND turn IS NOT NULL AND role = 'user' AS asks, conv_id IS NOT NULL AND turn IS NOT NULL AND role = 'assistant' AS answers
+  FROM conversations
+), e AS (
+  SELECT conv_id, CASE WHEN answers AND flaw = 4 THEN turn - 2 ELSE turn END AS turn, role, text, body, CASE flaw WHEN 1 THEN -1 ELSE turn END AS arg,
+    CASE WHEN asks THEN 'call' WHEN answers THEN 'result' ELSE 'text' END AS kind,
+    CASE WHEN asks THEN 'c' || conv_id || '-' || (turn - CASE flaw WHEN 5 THEN 2 ELSE 0 END)
+      WHEN answers AND flaw = 2 THEN 'x' || conv_id || '-' || turn WHEN answers THEN 'c' || conv_id || '-' || (turn - 1) END AS call_id,
+    CASE WHEN asks AND flaw = 3 THEN 'c' || conv_id || '-' || (turn + 2) WHEN asks AND flaw = 7 THEN 'c' || conv_id || '-' || turn END AS ref
+  FROM m
+), c AS (SELECT conv_id, call_id, min(turn) AS t FROM e WHERE kind = 'call' GROUP BY ALL),
+r AS (SELECT conv_id, call_id, min(turn) AS t FROM e WHERE kind = 'result' GROUP BY ALL),
+n AS (SELECT conv_id, count(*) AS n FROM e WHERE kind <> 'text' GROUP BY conv_id),
+w AS (
+  SELECT conv_id, 'result' AS k, call_id AS i, r.t AS t, 'call' AS bk, call_id AS bi, c.t AS bt FROM r JOIN c USING (conv_id, call_id)
+  UNION ALL
+  SELECT e.conv_id, 'call', e.call_id, e.turn, 'result', e.ref, r.t FROM e JOIN c ON c.conv_id = e.conv_id AND c.call_id = e.ref JOIN r ON r.conv_id = e.conv_id AND r.call_id = e.ref
+), walk(conv_id, k, i, t, bk, bi, bt, steps) AS (
+  SELECT *, 1 FROM w
+  UNION
+  SELECT a.conv_id, a.k, a.i, a.t, w.bk, w.bi, w.bt, a.steps + 1 FROM walk a JOIN w ON w.conv_id = a.conv_id AND w.k = a.bk AND w.i = a.bi AND w.t = a.bt JOIN n ON n.conv_id = a.conv_id WHERE a.steps < n.n
+), p AS (
+  SELECT conv_id, k AS kind, i AS call_id, t AS turn, max([bt, steps]) AS far, bool_or(steps >= n.n) AS cyclic FROM walk JOIN n USING (conv_id) GROUP BY ALL
+), s AS (
+  SELECT e.*, coalesce(p.cyclic, false) AS cyclic, CASE WHEN p.far IS NOT NULL AND NOT p.cyclic AND p.far > [e.turn, 0] THEN p.far ELSE [e.turn, 0] END AS place, c.t AS ct, r.t AS rt,
+    list_filter([CASE WHEN kind = 'call' AND body = '' THEN '$.prompt: too short' END, CASE WHEN kind = 'call' AND arg < 0 THEN '$.turn: too small' END], lambda x: x IS NOT NULL) AS errors
+  FROM e LEFT JOIN p USING (conv_id, kind, call_id, turn) LEFT JOIN c USING (conv_id, call_id) LEFT JOIN r USING (conv_id, call_id)
+), f AS (
+  SELECT *, CASE WHEN kind = 'text' THEN 'ok' WHEN kind = 'result' AND ct IS NULL THEN 'orphan' WHEN turn <> CASE kind WHEN 'call' THEN ct ELSE rt END THEN 'duplicate'
+    WHEN cyclic THEN 'cyclic' WHEN len(errors) > 0 THEN 'invalid' WHEN kind = 'call' AND rt IS NULL THEN 'unanswered' ELSE 'ok' END AS status
+  FROM s
+)
+SELECT conv_id, CAST(place[1] AS BIGINT) AS order_turn, CAST(place[2] AS INTEGER) AS order_depth, turn, CAST(0 AS INTEGER) AS part, kind, call_id, status,
+  CASE kind WHEN 'text' THEN '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}'
+    WHEN 'call' THEN '{"arguments":{' || CASE WHEN ref IS NULL THEN '' ELSE '"after":{"$result":"' || ref || '"},' END || '"prompt":' || CAST(to_json(body) AS VARCHAR) || ',"turn":' || arg
+      || '},"errors":' || CAST(to_json(errors) AS VARCHAR) || ',"id":"' || call_id || '","name":"reply","role":"assistant","status":"' || status || '"}'
+    ELSE '{"content":' || CAST(to_json(body) AS VARCHAR) || ',"role":"tool","status":"' || status || '","tool_call_id":"' || call_id || '"}' END AS json
+FROM f
+"""
+
 ORACLES = {
     "op1_warc": WARC,
+    "op3_chat_format": CHAT,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
     "op6_near_dedup": NEAR,

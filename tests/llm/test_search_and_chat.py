@@ -28,7 +28,8 @@ def test_search_recall(spark):
     data += [(3_000 + i, data[7][1]) for i in range(200)]  # many copies of one vector
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(5)
     got = {}
-    for r in ann.search(df, ann.AnnSpec(row_block=1_000, query_block=64)).orderBy("query_id", "rank").collect():
+    # the exact products of 2 % of a block only, so that the codes decide
+    for r in ann.search(df, ann.AnnSpec(row_block=1_600, rerank=32)).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     want = brute(data)
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
@@ -40,6 +41,18 @@ def test_search_recall(spark):
         assert found == sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+def test_search_recall_on_the_table(spark):
+    """Recall through the codes on the largest table at hand: 2 % of the rows reranked."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.select("vec_id", "embedding").collect()]
+    want = brute(rows)
+    got = {}
+    for r in ann.search(df, ann.AnnSpec(rerank=len(rows) // 50)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / sum(map(len, want.values()))
+    assert recall >= 0.95
+
+
 def test_search_awkward_rows(spark):
     data = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, []), (8, [1.0]), (None, [9.0, 9.0]), (40, [float("inf"), 0.0])]
     df = spark.createDataFrame([(*x, 1, 2) for x in data], "vec_id long, embedding array<double>, score int, id int")
@@ -117,22 +130,101 @@ def test_chat_links_orders_and_validates(spark):
 
 def test_repeated_messages_are_duplicates(spark):
     data = [(1, 0, "assistant", call({"id": "a", "name": "find", "arguments": {"q": "x"}}))] * 3 + [(1, 1, "tool", result("a", 1))] * 2
-    got = cf.format_chat(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"), {"find": CALL}).collect()
-    assert len(got) == 5
+    got = cf.format_chat(spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(3), {"find": CALL}).collect()
+    assert Counter((r.kind, r.status) for r in got) == {("call", "ok"): 1, ("call", "duplicate"): 2, ("result", "ok"): 1, ("result", "duplicate"): 1}
+
+
+def test_lone_surrogates(spark):
+    data = [
+        (1, 0, "assistant", '{"tool_calls": [{"id": "\\ud800", "name": "find\\udfff", "arguments": {"q": "a\\ud83d\\ude00\\ud800", "\\udc00": 1}}]}'),
+        (1, 1, "tool", '{"tool_call_id": "\\ud800", "content": "\\udabc"}'),
+        (1, 2, "assistant", '{"tool_calls": [{"id": "b", "name": "find", "arguments": {"q": {"$result": "\\ud800"}}}], "content": "\\ud800"}'),
+    ]
+    got = {(r.kind, r.turn): r for r in cf.format_chat(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"), {"find": CALL}).collect()}
+    assert got["call", 0].call_id == "\ufffd" and got["result", 1].status == "ok" and '"\\udabc"' in got["result", 1].json
+    assert '"a\U0001f600\\ud800"' in got["call", 0].json and "\\udc00" in got["call", 0].json and json.loads(got["text", 2].json)
+
+
+def test_long_chains_out_of_order(spark):
+    """A chain of calls, each waiting for the result of the next one in the log, and a long cycle."""
+    n = 40
+    ref = lambda i: {"id": f"c{i}", "name": "find", "arguments": {"q": {"$result": f"c{i + 1}"}}}
+    data = [(1, 2 * i, "assistant", call(ref(i))) for i in range(n)] + [(1, 2 * i + 1, "tool", result(f"c{i}", i)) for i in range(n)]
+    data += [(1, 2 * n, "assistant", call({"id": f"c{n}", "name": "find", "arguments": {"q": "x"}})), (1, 2 * n + 1, "tool", result(f"c{n}", n))]
+    data += [(2, i, "assistant", call({**ref(i), "arguments": {"q": {"$result": f"c{(i + 1) % n}"}}})) for i in range(n)] + [(2, n + i, "tool", result(f"c{i}", i)) for i in range(n)]
+    loose = {"find": {"type": "object"}}
+    got = cf.format_chat(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"), loose).collect()
+    chain = sorted((r for r in got if r.conv_id == 1), key=lambda r: (r.order_turn, r.order_depth, r.turn, r.part))
+    assert [(r.kind, r.call_id) for r in chain] == [(k, f"c{i}") for i in range(n, -1, -1) for k in ("call", "result")]
+    assert {r.status for r in chain} == {"ok"} and {r.status for r in got if r.conv_id == 2} == {"cyclic"}
+
+
+def brute_places(events):
+    """(place, cyclic) of each event by walking back over all paths; events: id -> (turn, part, ids it waits for)."""
+    out = {}
+    for x in events:
+        best, front, cyclic = events[x][:2], {x: 0}, False
+        for step in range(1, 2 * len(events) + 1):
+            front = {p: step for e in front for p in events[e][2]}
+            cyclic = cyclic or step >= len(events) and bool(front)
+            best = max([best, *((events[p][0], events[p][1] + step) for p in front)])
+        out[x] = (events[x][:2] if cyclic else best, cyclic)
+    return out
 
 
 def test_turns_as_calls_on_the_table(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
-    got = cf.format_chat(cf.turns_as_calls(df)).collect()
-    assert len(got) == df.count() and {r.status for r in got} <= {"ok", "unanswered"}
-    answered = {(r.conv_id, r.turn) for r in got if r.kind == "result"}
-    for r in got:
-        if r.kind == "call":
-            assert (r.status == "ok") == ((r.conv_id, r.turn + 1) in answered)
+    """The query's rows, flaws of all kinds among them, against brute force."""
+    df = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    messages = cf.turns_as_calls(df).collect()
+    got = {(r.conv_id, r.turn, r.kind, r.call_id): r for r in cf.format_chat(cf.turns_as_calls(df)).collect()}
+    assert len(got) == len(messages) == df.count()
+    by_conv = {}
+    for m in messages:
+        data = json.loads(m.text) if (m.text or "")[:1] == "{" else {}
+        kind = "call" if "tool_calls" in data else "result" if "tool_call_id" in data else "text"
+        data = data["tool_calls"][0] if kind == "call" else data
+        by_conv.setdefault(m.conv_id, []).append((m.turn, kind, data.get("id", data.get("tool_call_id")), data.get("arguments", {})))
+    for conv, rows in by_conv.items():
+        first = {}
+        for turn, kind, ident, _ in sorted(rows, key=lambda r: r[:2]):
+            first.setdefault((kind, ident), turn)
+        events = {}
+        for turn, kind, ident, args in rows:
+            waits = []
+            if kind == "result" and first["result", ident] == turn and ("call", ident) in first:
+                waits.append(("call", first["call", ident], ident))
+            for ref in cf.references(args):
+                if ("call", ref) in first and ("result", ref) in first:
+                    waits.append(("result", first["result", ref], ref))
+            events[kind, turn, ident] = (turn, 0, waits)
+        linked = {k: v for k, v in events.items() if k[0] != "text"}
+        places = brute_places(linked)
+        for turn, kind, ident, args in rows:
+            r = got[conv, turn, kind, ident]
+            place, cyclic = places.get((kind, turn, ident), ((turn, 0), False))
+            bad = kind == "call" and bool(cf.schema_errors(args, cf.TURN_TOOLS["reply"]))
+            want = (
+                "ok" if kind == "text"
+                else "orphan" if kind == "result" and ("call", ident) not in first
+                else "duplicate" if first[kind, ident] != turn
+                else "cyclic" if cyclic
+                else "invalid" if bad
+                else "unanswered" if kind == "call" and ("result", ident) not in first
+                else "ok"
+            )
+            assert (r.status, (r.order_turn, r.order_depth)) == (want, place)
+    assert {r.status for r in got.values()} == {"ok", "orphan", "duplicate", "cyclic", "invalid", "unanswered"}
+    assert any(r.order_turn != r.turn for r in got.values())
 
 
 def test_canonical_json():
-    assert cf.canonical({"b": 1.0, "a": [True, None, "é\n"], "\U0001f600": 1, "דּ": 2}) == '{"a":[true,null,"é\\n"],"b":1,"\U0001f600":1,"דּ":2}'
+    assert cf.canonical({"b": 1.0, "a": [True, None, "é\n"], "\U0001f600": 1, "דּ": 2}) == '{"a":[true,null,"é\\n"],"b":1,"\U0001f600":1,"דּ":2}'
+    for text, want in (("1e15", "1000000000000000"), ("1000000000000000", "1000000000000000"), ("1e-7", "1e-7"), ("1e21", "1e+21"), ("-0.0", "0"), ("1.5e-6", "0.0000015"), ("0.1", "0.1"), ("1e16", "10000000000000000")):
+        assert cf.canonical(json.loads(text)) == want
+    rng = random.Random(33)
+    for _ in range(2_000):
+        x = rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-30, 30)
+        assert float(cf.canonical(x)) == x
 
 
 def test_pipeline_stages(spark):
