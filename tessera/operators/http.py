@@ -12,6 +12,10 @@ from tessera.config import REQUEST_THRESHOLD, TOP_K
 from tessera.operators.serve import BadRequest, NotReady, Service
 
 
+#: Bytes of a request's body at most: a full batch of long names.
+MAX_BODY = 16 << 20
+
+
 def answer(spark: SparkSession, service: Service, path: str, query: dict, body: dict) -> tuple[int, dict]:
     """(status, response) of one request."""
     try:
@@ -48,7 +52,8 @@ def serve(spark: SparkSession, service: Service, port: int = 8000, host: str = "
             url = urlparse(self.path)
             query = {k: v[-1] for k, v in parse_qs(url.query).items()}
             try:
-                body = json.loads(self.rfile.read(int(self.headers.get("Content-Length") or 0)) or b"{}")
+                size = int(self.headers.get("Content-Length") or 0)
+                body = json.loads(self.rfile.read(size) or b"{}") if 0 <= size <= MAX_BODY else None
             except ValueError:
                 body = None
             status, reply = answer(spark, service, url.path, query, body) if isinstance(body, dict) else (422, {"detail": "not a JSON object"})

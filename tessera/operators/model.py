@@ -70,14 +70,28 @@ class Matcher:
         return cls(GBTClassificationModel.load(f"{path}/model"), features)
 
 
+@dataclass
+class RuleMatcher(Matcher):
+    """A fixed score in the place of a trained model: one feature."""
+
+    model: None = None
+    feature: str = "levenshtein"
+
+    def predict(self, featured: DataFrame, out: str = "proba") -> DataFrame:
+        return featured.withColumn(out, F.col(self.feature))
+
+
 def featured(pairs: DataFrame) -> DataFrame:
     """pairs (left, right, ...) with phonetic keys and features."""
     left = with_phonetic_key(pairs, "left", "left_phon")
     return pair_features(with_phonetic_key(left, "right", "right_phon"))
 
 
-def train(pairs: DataFrame, rounds: int = 100, depth: int = 5, rate: float = 0.05, tolerance: float = 1e-4, seed: int = 42) -> Matcher:
-    """Fit on split train, stop early by split valid.  pairs: (features, label, split)."""
+def train(pairs: DataFrame, rounds: int = 500, depth: int = 5, rate: float = 0.05, tolerance: float = 1e-4, seed: int = 42) -> Matcher:
+    """Fit on split train, stop early by split valid once a round gains less than the tolerance.
+
+    pairs: (features, label, split).
+    """
     rows = stored(pairs.where(F.col("split").isin("train", "valid")).select(*FEATURES, F.col("label").cast("double").alias("label"), (F.col("split") == "valid").alias("_valid")))
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="_vector").transform(rows)
     learner = GBTClassifier(

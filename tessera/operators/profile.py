@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import has_more_cyrillic, n_tokens, normalize_light, script_label
 from tessera.sources.io import sample_exact
+from tessera.sources.scratch import stored
 
 NAME_COLUMNS = ("party_name", "name", "full_name")
 COUNTRY_COLUMNS = ("country", "country_code", "iso")
@@ -40,9 +41,14 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return counts.withColumn("share", F.round(F.col("n") / F.lit(df.count()), 6)).orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(top)
 
 
-def low_cardinality(df: DataFrame, limit: int = 50) -> list[str]:
+def _rows(df: DataFrame, profile: DataFrame | None) -> list[Row]:
+    """The rows of profile_columns(), a row per column, from a profile at hand if there is one."""
+    return (profile_columns(df) if profile is None else profile).collect()
+
+
+def low_cardinality(df: DataFrame, limit: int = 50, profile: DataFrame | None = None) -> list[str]:
     """Columns with 1 to limit distinct values."""
-    return [r["column"] for r in profile_columns(df).collect() if 0 < r["n_distinct"] <= limit]
+    return [r["column"] for r in _rows(df, profile) if 0 < r["n_distinct"] <= limit]
 
 
 def low_cardinality_values(df: DataFrame, columns: list[str], top: int = 50) -> DataFrame:
@@ -69,10 +75,10 @@ def looks_like_id(df: DataFrame, column: str, probe: int | None = 5_000) -> bool
     return r["no_space"] is None or (r["no_space"] > 0.95 and r["code_like"] > 0.95)
 
 
-def pick_text_columns(df: DataFrame, least: float = 0.01, probe: int | None = 5_000) -> list[str]:
+def pick_text_columns(df: DataFrame, least: float = 0.01, probe: int | None = 5_000, profile: DataFrame | None = None) -> list[str]:
     """String columns with many different values that do not look like identifiers."""
-    profile = {r["column"]: r for r in profile_columns(df).collect()}
-    many = [c for c, kind in df.dtypes if kind == "string" and profile[c]["n"] and profile[c]["n_distinct"] / profile[c]["n"] >= least]
+    known = {r["column"]: r for r in _rows(df, profile)}
+    many = [c for c, kind in df.dtypes if kind == "string" and known[c]["n"] and known[c]["n_distinct"] / known[c]["n"] >= least]
     return [c for c in many if not looks_like_id(df, c, probe)]
 
 
@@ -120,13 +126,14 @@ def bar_chart(df: DataFrame, column: str, top: int = 15) -> DataFrame:
     return value_counts(df, column, top).select("value", "n")
 
 
-def gold_scores(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def gold_scores(df: DataFrame, columns: list[str] | None = None, profile: DataFrame | None = None) -> DataFrame:
     """(column, filled, repeat, score) of columns that may label entities in part.
 
     filled in (0.001, 0.5), repeat = 1 - distinct / filled over 0.05; score is repeat times
     the smaller of 20 * filled and 1, twice that if the name has "id" in it.
     """
-    rows = profile_columns(df.select(*columns) if columns else df).where("n_distinct >= 0")
+    rows = profile_columns(df.select(*columns) if columns else df) if profile is None else profile
+    rows = rows.where("n_distinct >= 0")
     filled = 1 - F.col("null_share")
     rows = rows.select("column", filled.alias("filled"), (1 - F.col("n_distinct") / F.nullif(F.round(filled * F.col("n")), F.lit(0.0))).alias("repeat"))
     score = F.col("repeat") * F.least(20 * F.col("filled"), F.lit(1.0)) * F.when(F.lower("column").contains("id"), 2).otherwise(1)
@@ -134,9 +141,9 @@ def gold_scores(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return rows.select("column", F.round("filled", 6).alias("filled"), F.round("repeat", 6).alias("repeat"), F.round(score, 6).alias("score"))
 
 
-def find_gold(df: DataFrame) -> str | None:
+def find_gold(df: DataFrame, profile: DataFrame | None = None) -> str | None:
     """The column with the best score, the first of equal ones."""
-    rows = {r["column"]: r["score"] for r in gold_scores(df).collect()}
+    rows = {r["column"]: r["score"] for r in gold_scores(df, profile=profile).collect()}
     return max((c for c in df.columns if c in rows), key=lambda c: rows[c], default=None)
 
 
@@ -184,9 +191,9 @@ def entity_difficulty(df: DataFrame, gold: str, name: str, country: str | None =
     return per.agg(*out, *([share(F.col("countries") > 1).alias("multi_country")] if country else []))
 
 
-def category_skew(df: DataFrame, limit: int = 50, columns: int = 4, top: int = 3) -> DataFrame:
+def category_skew(df: DataFrame, limit: int = 50, columns: int = 4, top: int = 3, profile: DataFrame | None = None) -> DataFrame:
     """(column, n_values, top_share): concentration of the first few categorical columns."""
-    kept = [r["column"] for r in profile_columns(df).collect() if 1 < r["n_distinct"] <= limit]
+    kept = [r["column"] for r in _rows(df, profile) if 1 < r["n_distinct"] <= limit]
     kept = [c for c in df.columns if c in kept][:columns]
     return skew_of(df, kept, top)
 
@@ -208,20 +215,22 @@ def explore(df: DataFrame, gold: str | None = None, values: bool = True, sample:
 
     gold None is looked for; values False leaves the categories' values out.
     """
-    out = {"columns": profile_columns(df)}
-    low = low_cardinality(df)
+    # the one full pass over all columns: a row per column
+    columns = stored(profile_columns(df), small=True)
+    out = {"columns": columns}
+    low = low_cardinality(df, profile=columns)
     if values and low:
         out["low_cardinality"] = low_cardinality_values(df, low)
-    for c in pick_text_columns(df)[:texts]:
+    for c in pick_text_columns(df, profile=columns)[:texts]:
         out[f"text:{c}"] = text_stats(df, c, sample)
         out[f"scripts:{c}"] = script_distribution(df, c)
         out[f"lengths:{c}"] = length_histogram(df, c)
-    gold = gold or find_gold(df)
+    gold = gold or find_gold(df, columns)
     if gold:
         role = roles(df)
         out["entities"] = entity_stats(df, gold)
         out["sizes"] = size_histogram(df, gold)
         if role["name"]:
             out["difficulty"] = entity_difficulty(df, gold, role["name"], role["country"])
-    out["skew"] = category_skew(df)
+    out["skew"] = category_skew(df, profile=columns)
     return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,19 +31,28 @@ def _prepared(df: DataFrame, name: str) -> DataFrame:
     return with_phonetic_key(on_distinct(df, name, lambda c: {"lat": prep(c)}))
 
 
+def _keys(names: DataFrame, spoken: bool) -> DataFrame:
+    return blocking_keys(names, phon="phon" if spoken else None, soundex=spoken)
+
+
 @dataclass
 class NameIndex:
-    """names (name_id, name, lat, phon) and their keys, partitioned by key.  Keys are not capped."""
+    """names (name_id, name, lat, phon) and their keys, held by the executors in partitions of
+    key, so that a request shuffles its own few keys only.  Keys are not capped.
+
+    spoken: whether names also meet at phonetic and Soundex keys.
+    """
 
     names: DataFrame
     keys: DataFrame
+    spoken: bool = True
 
     @classmethod
-    def build(cls, names: DataFrame) -> NameIndex:
+    def build(cls, names: DataFrame, spoken: bool = True) -> NameIndex:
         """From (name); equal raw names are one entry."""
         named = stored(_prepared(names.select("name").where("name is not null").distinct(), "name").withColumn("name_id", F.xxhash64("name")))
-        keys = stored(blocking_keys(named, soundex=True).repartition("key"))
-        return cls(named, keys)
+        keys = stored(_keys(named, spoken))
+        return cls(named, keys.repartition("key_type", "key").persist(StorageLevel.MEMORY_AND_DISK), spoken)
 
 
 @dataclass
@@ -81,7 +91,7 @@ class Service:
         if not 1 <= top_k <= MAX_TOP_K or not 0 <= min_score <= 1:
             raise BadRequest("top_k or min_score out of range")
         asked = stored(_prepared(queries.select(F.col("query")).distinct(), "query").withColumn("name_id", F.xxhash64("query")))
-        probes = blocking_keys(asked, soundex=True).withColumnRenamed("name_id", "query_id")
+        probes = _keys(asked, self.index.spoken).withColumnRenamed("name_id", "query_id")
         found = probes.join(self.index.keys, ["key_type", "key"]).select("query_id", "name_id").distinct()
         left = asked.select(F.col("name_id").alias("query_id"), "query", F.col("lat").alias("left"), F.col("phon").alias("left_phon"))
         right = self.index.names.select("name_id", "name", F.col("lat").alias("right"), F.col("phon").alias("right_phon"))
@@ -91,10 +101,11 @@ class Service:
         best = ranked.where((F.col("rank") <= top_k) & (F.col("score") >= min_score))
         return best.select("query", F.col("left").alias("normalized"), "rank", "name", "score", "candidates")
 
-    def deduplicate_batch(self, names: DataFrame, threshold: float = REQUEST_THRESHOLD, limit: int | None = MAX_BATCH) -> DataFrame:
+    def deduplicate_batch(self, names: DataFrame, threshold: float = REQUEST_THRESHOLD, limit: int | None = MAX_BATCH, spoken: bool = True) -> DataFrame:
         """names (position, name) with cluster_id, numbered from 0 by first position.
 
-        Keys of 2 to 200 names, soundex too, no stop-list.  limit None lifts the request's size.
+        Keys of 2 to 200 names, the phonetic ones and Soundex too if spoken, no stop-list.
+        limit None lifts the request's size.
         """
         model = self._model()
         if not 0 <= threshold <= 1:
@@ -103,7 +114,7 @@ class Service:
             raise BadRequest(f"more than {limit} names")
         keyed = stored(_prepared(names, "name"))
         ids = stored(keyed.select(F.col("position").alias("name_id"), "lat", "phon"))
-        pairs = candidate_pairs(blocking_keys(ids, soundex=True), MAX_BLOCK_BATCH)
+        pairs = candidate_pairs(_keys(ids, spoken), MAX_BLOCK_BATCH)
         edges = model.score_pairs(pairs, ids).where(F.col("score") >= threshold)
         found = connected_components(edges)
         first = keyed.select("position", "name").join(found, F.col("position") == found["node"], "left").select("position", "name", F.coalesce("component", "position").alias("first"))

@@ -16,7 +16,7 @@ from tessera.functions import similarity as sim
 from tessera.functions import text as tx
 from tessera.functions.phonetic import with_phonetic_key
 from tessera.operators import blocking, crosscountry, dedup, evaluate, profile, training
-from tessera.operators.model import featured, train
+from tessera.operators.model import RuleMatcher, featured, train
 from tessera.operators.serve import NameIndex, Service
 from tessera.sources.io import sample_exact
 from tessera.sources.scratch import stored
@@ -409,14 +409,60 @@ def calibration_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.calibration_sweep(df, names, stored(scored), _SWEEP_GRID)
 
 
-@query(f"""WITH {_VARIANTS}, q AS (SELECT DISTINCT p_name AS query FROM part), s AS (SELECT query, lat AS name, round({_LEV.format("query", "lat")}, 6) AS score FROM q JOIN names ON string_split(query, ' ')[1] = string_split(lat, ' ')[1]),
-  r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, name) AS rank FROM s) SELECT query, CAST(rank AS INTEGER) AS rank, name, score FROM r WHERE rank <= 3 AND score >= 0.5""")
+@query(f"""WITH {_VARIANTS}, {_KEYS}, q AS (SELECT DISTINCT p_name AS query FROM part),
+  qk AS (SELECT 'sorted' AS key_type, {_SORTED.format('query')} AS key, query FROM q UNION ALL SELECT 'pref', {_PREF.format('query')}, query FROM q WHERE {_PREF.format('query')} IS NOT NULL),
+  f AS (SELECT DISTINCT query, lat FROM qk JOIN keys USING (key_type, key) JOIN names USING (name_id)), s AS (SELECT query, lat AS name, {_LEV.format("query", "lat")} AS score FROM f),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, name) AS rank, count(*) OVER (PARTITION BY query) AS candidates FROM s)
+  SELECT query, query AS normalized, CAST(rank AS INTEGER) AS rank, name, round(score, 6) AS score, candidates FROM r WHERE rank <= 3 AND score >= 0.5""")
 def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = table(spark, sf_dir, "part").select(F.col("p_name").alias("query")).distinct().withColumn("t", F.split("query", " ")[0])
-    names = variants(spark, sf_dir).select(F.col("lat").alias("name"), F.split("lat", " ")[0].alias("t"))
-    scored = q.join(names, "t").withColumn("score", F.round(sim.levenshtein_score("query", "name"), 6))
-    ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "name")))
-    return ranked.where("rank <= 3 and score >= 0.5").select("query", "rank", "name", "score")
+    """The service's search with a fixed score, over the keys that SQL can make."""
+    asked = table(spark, sf_dir, "part").select(F.col("p_name").alias("query")).distinct()
+    index = NameIndex.build(variants(spark, sf_dir).select(F.col("lat").alias("name")), spoken=False)
+    return Service(RuleMatcher(), index).search(asked, 3, 0.5).withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {_NAMED} SELECT l AS "left", r AS "right", l AS left_normalized, r AS right_normalized, round({_LEV.format("l", "r")}, 6) AS probability, {_LEV.format("l", "r")} >= 0.9 AS is_duplicate, 0.9::DOUBLE AS threshold FROM named""")
+def check_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service's check of pairs with a fixed score."""
+    return Service(RuleMatcher()).check_duplicates(_named_pairs(spark, sf_dir).select("left", "right")).withColumn("probability", F.round("probability", 6))
+
+
+@query(f"""WITH RECURSIVE {_VARIANTS}, {_KEYS}, {_PAIRS.format(cap=200)}, place AS (SELECT name_id, lat, row_number() OVER (ORDER BY lat) - 1 AS position FROM names),
+  e AS (SELECT a.position AS u, b.position AS v FROM pairs JOIN place a ON a.name_id = src JOIN place b ON b.name_id = dst WHERE {_LEV.format("a.lat", "b.lat")} >= 0.9),
+  both_ways AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e), reach(a, b) AS (SELECT position, position FROM place UNION SELECT r.a, x.v FROM reach r JOIN both_ways x ON r.b = x.u),
+  c AS (SELECT a AS position, min(b) AS first FROM reach GROUP BY a) SELECT position, lat AS name, CAST(dense_rank() OVER (ORDER BY first) - 1 AS INTEGER) AS cluster_id FROM c JOIN place USING (position)""")
+def batch_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service's deduplication of a batch with a fixed score, over the keys that SQL can make."""
+    names = variants(spark, sf_dir).select((F.row_number().over(W.orderBy("lat")) - 1).cast("long").alias("position"), F.col("lat").alias("name"))
+    return Service(RuleMatcher()).deduplicate_batch(names, spoken=False)
+
+
+# the longest common subsequence, row by row: a row is the running maximum of what each place offers
+_LCS = """lcs_rows(id, a, b, i, r) AS (
+  SELECT id, a, b, 0, list_transform(range(length(b) + 1), lambda j: 0) FROM texts
+  UNION ALL
+  SELECT id, a, b, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT id, a, b, i, [0] || list_transform(range(1, length(b) + 1), lambda j: CASE WHEN substr(b, j, 1) = substr(a, i + 1, 1) THEN r[j] + 1 ELSE r[j + 1] END) AS c FROM lcs_rows WHERE i < length(a)
+  )
+), lcs AS (SELECT id, a, b, r[length(b) + 1] AS n FROM lcs_rows WHERE i = length(a))"""
+
+
+@query(f"""WITH RECURSIVE {_NAMED}, tok AS (SELECT src, dst, l, r, {_SORTED.format("l")} AS ls, {_SORTED.format("r")} AS rs, list_distinct({_TOK.format("l")}) AS lt, list_distinct({_TOK.format("r")}) AS rt FROM named),
+  sets AS (SELECT *, array_to_string(list_sort(list_filter(lt, lambda x: list_contains(rt, x))), ' ') AS meet, array_to_string(list_sort(list_filter(lt, lambda x: NOT list_contains(rt, x))), ' ') AS lr,
+    array_to_string(list_sort(list_filter(rt, lambda x: NOT list_contains(lt, x))), ' ') AS rr FROM tok),
+  joined AS (SELECT *, trim(meet || ' ' || lr) AS lw, trim(meet || ' ' || rr) AS rw, CASE WHEN length(l) <= length(r) THEN l ELSE r END AS sh, CASE WHEN length(l) <= length(r) THEN r ELSE l END AS lo FROM sets),
+  stretches AS (SELECT src, dst, sh, lo, substr(lo, greatest(0, e - length(sh)) + 1, least(length(lo), e) - greatest(0, e - length(sh))) AS st FROM (SELECT src, dst, sh, lo, unnest(range(1, length(sh) + length(lo))) AS e FROM joined)),
+  texts AS (SELECT row_number() OVER () AS id, a, b FROM (SELECT l AS a, r AS b FROM joined UNION SELECT ls, rs FROM joined UNION SELECT lw, rw FROM joined UNION SELECT meet, lw FROM joined UNION SELECT meet, rw FROM joined UNION SELECT sh, st FROM stretches)),
+  {_LCS}, ratio AS (SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 1.0 ELSE 2 * n / (length(a) + length(b))::DOUBLE END AS x FROM lcs),
+  best AS (SELECT src, dst, max(x) AS x FROM stretches JOIN ratio ON a = sh AND b = st GROUP BY ALL)
+  SELECT j.src, j.dst, round(r1.x, 6) AS ratio, round(r2.x, 6) AS token_sort,
+    round(CASE WHEN len(lt) = 0 OR len(rt) = 0 THEN 0.0 WHEN meet <> '' AND (lr = '' OR rr = '') THEN 1.0 ELSE greatest(r3.x, CASE WHEN meet = '' THEN 0.0 ELSE greatest(r4.x, r5.x) END) END, 6) AS token_set, round(best.x, 6) AS "partial"
+  FROM joined j JOIN ratio r1 ON r1.a = l AND r1.b = r JOIN ratio r2 ON r2.a = ls AND r2.b = rs JOIN ratio r3 ON r3.a = lw AND r3.b = rw JOIN ratio r4 ON r4.a = meet AND r4.b = lw JOIN ratio r5 ON r5.a = meet AND r5.b = rw
+  JOIN best ON best.src = j.src AND best.dst = j.dst""")
+def pair_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four string kernels that have no built-in counterpart."""
+    df = _named_pairs(spark, sf_dir).withColumn("k", sim.kernels("left", "right"))
+    return df.select("src", "dst", *[F.round(f"k.{c}", 6).alias(c) for c in ("ratio", "token_sort", "token_set", "partial")])
 
 
 @query(f"""WITH {_VARIANTS}, g AS (SELECT string_split(lat, ' ')[1] AS s, lat, row_number() OVER (PARTITION BY string_split(lat, ' ')[1] ORDER BY lat) AS n FROM names WHERE len({_TOK.format("lat")}) >= 2),
@@ -442,9 +488,12 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.group_counts(training.split_by_entity(pairs), "split")
 
 
-@query("SELECT 0::BIGINT AS n")
+@query(f"""WITH {_SPLIT}, p AS (SELECT c_name AS k, c_mktsegment AS other FROM customer), j AS (SELECT p.other, s.split FROM p JOIN s USING (k))
+  SELECT count(*) AS n FROM (SELECT other FROM j WHERE split = 'train' INTERSECT SELECT other FROM j WHERE split = 'test')""")
 def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.leakage(training.split_by_entity(table(spark, sf_dir, "customer").select(F.col("c_name").alias("left"))))
+    """Of the right side, whose values may recur; of the left side there are none by construction."""
+    pairs = table(spark, sf_dir, "customer").select(F.col("c_name").alias("left"), F.col("c_mktsegment").alias("right"))
+    return training.leakage(training.split_by_entity(pairs), "right")
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY md5('42|' || c_custkey), c_custkey LIMIT 100")
@@ -498,6 +547,7 @@ def metrics_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_small(spark: SparkSession, sf_dir: str):
+    """A model of ten rounds on a small set of pairs: a fixture for what a trained model answers."""
     names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).union(variants(spark, sf_dir).select("lat"))
     pairs = stored(featured(training.split_by_entity(training.training_pairs(names, 600, 300, 300))))
     return train(pairs, rounds=10), pairs

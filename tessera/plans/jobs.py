@@ -50,7 +50,7 @@ def person_names(spark: SparkSession, settings: Settings, n: int = 300_000, stri
     return some.select(F.col(c.name).alias("name"), F.col(c.country).alias("country"))
 
 
-def quality(spark: SparkSession, settings: Settings, n: int = 300_000, strict: bool = True, sizes: tuple[int, int, int] = (60_000, 30_000, 15_000), rounds: int = 100) -> dict[str, DataFrame]:
+def quality(spark: SparkSession, settings: Settings, n: int = 300_000, strict: bool = True, sizes: tuple[int, int, int] = (60_000, 30_000, 15_000), rounds: int = 500) -> dict[str, DataFrame]:
     """Train on synthetic pairs and evaluate; writes the model, the labelled test set and the report."""
     names = stored(person_names(spark, settings, n, strict))
     pairs = stored(featured(training.split_by_entity(training.training_pairs(names, *sizes, seed=settings.seed))))

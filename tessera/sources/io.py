@@ -23,11 +23,25 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
 def sample_exact(df: DataFrame, n: int, seed: int, keys: list[str], strict: bool = False) -> DataFrame:
     """n rows, the same for any partitioning: those with the smallest hashes of the keys.
 
-    Fewer rows than n give all, or an error if strict.
+    The hash of the last one is found first, over hashes alone, and the rows then only
+    filtered by it: they stay where they are.  Fewer rows than n give all, or an error if strict.
     """
-    if strict and df.limit(n).count() < n:
-        raise ValueError(f"fewer than {n} rows")
-    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)
+    rows = df.withColumn("__h", F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])))
+    least = rows.select("__h").orderBy("__h").limit(n)
+    edge, count = least.agg(F.max("__h"), F.count("*")).first()
+    if count < n:
+        if strict:
+            raise ValueError(f"fewer than {n} rows")
+        return df
+    if edge is None:
+        return df.limit(0)
+    # rows with the last hash are alike in their keys, and may be more than are wanted
+    over = rows.where(F.col("__h") <= edge).count() - n
+    sure = rows.where(F.col("__h") < edge) if over else rows.where(F.col("__h") <= edge)
+    if over:
+        ties = rows.where(F.col("__h") == edge)
+        sure = sure.union(ties.orderBy(*keys).limit(n - sure.count()))
+    return sure.drop("__h")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -1,7 +1,9 @@
 """Text, phonetic and similarity functions, and corruption."""
 
 import random
+import unicodedata
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,13 +27,28 @@ def test_armenian_ligature_and_marks(spark):
     assert got["և"] == "ev" and got["ու"] == "ov" and got["é"] == "e" and got["ﬁn"] == "fin"
 
 
+def to_latin(name: str) -> str:
+    """The comparison key by its definition."""
+    low = unicodedata.normalize("NFKC", name).lower().replace("ё", "е")
+    spelled = []
+    for ch in low:
+        if ch != "_" and unicodedata.category(ch)[0] not in "LN":
+            spelled.append(" ")
+        elif ch in tables.LETTERS or ch.isascii():
+            spelled.append(tables.LETTERS.get(ch, ch))
+        else:
+            base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
+            spelled.append(base if base.isascii() else " ")
+    return " ".join("".join(spelled).split())
+
+
 def test_python_and_column_spelling_agree(spark):
     rng = random.Random(1)
     letters = "".join(tables.LETTERS) + "abc XYZ-_'é№漢ßŁ"
     names = ["".join(rng.choice(letters) for _ in range(12)) for _ in range(300)]
     df = spark.createDataFrame([(x,) for x in names], "name string")
     got = {r.name: r.lat for r in text.on_distinct(df, "name", lambda c: {"lat": text.prep(c)}).collect()}
-    assert all(got[x] == co.to_latin(x) for x in names)
+    assert all(got[x] == to_latin(x) for x in names)
 
 
 def test_keys(spark):
@@ -101,18 +118,58 @@ def test_pair_features(spark):
     assert rows[""].levenshtein == 1 and rows["x"].levenshtein == 0 and rows["x"].len_diff == 0.5
 
 
+def test_batches_equal_single_pairs():
+    """The kernels of a batch against those of a pair, long names and odd characters among them."""
+    rng = random.Random(4)
+    some = lambda: "".join(rng.choice("abc ") for _ in range(rng.randint(0, 14)))
+    left, right = ([some() for _ in range(700)] for _ in range(2))
+    left += ["x" * 80, "abc def", "", "é漢 b", "a" * 63]
+    right += ["x" * 70 + "y", "abc def ghi", "", "é b", "a" * 62 + "b"]
+    for together, alone in zip(sim.KERNELS, (sim.ratio, sim.token_sort, sim.token_set, sim.partial, sim.jaro_winkler), strict=True):
+        assert together(pd.Series(left), pd.Series(right)).tolist() == pytest.approx([alone(a, b) for a, b in zip(left, right, strict=True)])
+    assert all(len(f(pd.Series([], dtype=object), pd.Series([], dtype=object))) == 0 for f in sim.KERNELS)
+
+
+def made(spark, names, op, seeds=20):
+    """What an operator makes of each name, by name."""
+    df = spark.createDataFrame([(x, i) for x in names for i in range(seeds)], "name string, seed long").repartition(3)
+    out = {}
+    for r in df.select("name", co.OPERATORS[op](F.col("name"), F.col("seed")).alias("out")).collect():
+        out.setdefault(r.name, set()).add(r.out)
+    return out
+
+
+def test_corruptions_one_by_one(spark):
+    got = made(spark, ["Әсел қ", "plain"], "fold_diacritics")
+    assert got == {"Әсел қ": {"Әсел к"}, "plain": {"plain"}}
+    assert made(spark, ["Иванов Пётр С", "solo"], "abbreviate") == {"Иванов Пётр С": {"Иванов П С"}, "solo": {"solo"}}
+    assert made(spark, ["a b", "a b c"], "drop_token") == {"a b": {"a b"}, "a b c": {"a b", "a c"}}
+    assert made(spark, ["a b", "a b c", "x"], "swap_tokens") == {"a b": {"b a"}, "a b c": {"b a c", "a c b"}, "x": {"x"}}
+    forms = made(spark, ["ХХК Найз", "Найз", "xllcx", "ООО Ромашка"], "swap_legal_form", 60)
+    assert forms["ХХК Найз"] == {"хк найз", "llc найз"} and forms["Найз"] == {"Найз"} and forms["xllcx"] == {"xllcx"}
+    assert forms["ООО Ромашка"] == {f"{x} ромашка" for x in ("общество с ограниченной ответственностью", "llc", "ltd")}
+    typos = made(spark, ["abc", "salt"], "typo", 300)
+    assert typos["abc"] == {"abc"}
+    near = {"salt"[:i] + c + "salt"[i + 1 :] for i, ch in enumerate("salt") for c in tables.NEIGHBOUR_KEYS[ch]}
+    lost = {"salt"[:i] + "salt"[i + 1 :] for i in range(4)}
+    twice = {"salt"[: i + 1] + "salt"[i:] for i in range(4)}
+    assert typos["salt"] <= near | lost | twice | {"aslt", "slat", "satl", "salt"} and typos["salt"] & near and typos["salt"] & lost and typos["salt"] & twice
+    spelled = made(spark, ["zhukov", "bbb"], "alt_translit", 100)
+    one = {"zhukov".replace(k, v, 1) for k, others in tables.OTHER_SPELLINGS.items() if k in "zhukov" for v in others}
+    assert spelled["zhukov"] <= one and len(spelled["zhukov"]) > 5 and spelled["bbb"] == {"bbb"}
+    latin = made(spark, ["Жуков"], "to_latin_variant", 100)["Жуков"]
+    assert all(x.isascii() for x in latin) and "zhukov" not in latin and latin & one
+
+
 def test_corruption_is_seeded_and_changes(spark):
-    names = ["Иванов Пётр Сергеевич", "Ғабдуллин Қанат", 'ООО "Ромашка"', "ab", ""]
-    for name in names:
-        for n in (1, 2, 3):
-            out, ops = co.corrupt(name, n, n)
-            assert co.corrupt(name, n, n) == (out, ops) and len(ops) <= n and set(ops) <= set(co.OPERATORS)
-            assert bool(ops) or out == name
-    rng = random.Random(3)
-    assert co.fold_diacritics("Әсел қ", rng) == "Әсел к" and co.abbreviate("Иванов Пётр С", rng) == "Иванов П С"
-    assert co.drop_token("a b", rng) == "a b" and co.swap_tokens("a b", rng) == "b a" and co.typo("abc", rng) == "abc"
-    assert co.swap_legal_form("ХХК Найз", rng) in ("хк найз", "llc найз") and co.swap_legal_form("Найз", rng) == "Найз"
-    assert co.corrupt("abcd efgh", 1, 5, allowed=["swap_tokens"]) == ("efgh abcd", ["swap_tokens"])
-    df = spark.createDataFrame([(x, i) for i, x in enumerate(names)], "name string, seed long").repartition(3)
-    made = {r.name: r.c.out for r in df.select("name", co.corrupted(F.col("name"), F.lit(2), F.col("seed")).alias("c")).collect()}
-    assert made == {x: co.corrupt(x, 2, i)[0] for i, x in enumerate(names)}
+    names = ["Иванов Пётр Сергеевич", "Ғабдуллин Қанат", 'ООО "Ромашка"', "ab", "", None]
+    df = spark.createDataFrame([(x, n, i) for x in names for n in range(4) for i in range(10)], "name string, n int, seed long")
+    run = lambda d: {(r.name, r.n, r.seed): (r.c.out, tuple(r.c.ops)) for r in d.select("*", co.corrupted(F.col("name"), F.col("n"), F.col("seed")).alias("c")).collect()}
+    got = run(df)
+    assert got == run(df.repartition(7))
+    for (name, n, _), (out, ops) in got.items():
+        assert len(ops) <= n and set(ops) <= set(co.OPERATORS) and (bool(ops) or out == (name or ""))
+    assert len({out for (name, n, _), (out, _) in got.items() if name == names[0] and n == 2}) > 5
+    assert all(len(ops) == n for (name, n, _), (_, ops) in got.items() if name == names[0])
+    only = df.select("name", "n", co.corrupted(F.col("name"), F.col("n"), F.col("seed"), allowed=["abbreviate"]).alias("c")).where("n = 3 and name like 'Иванов%'").collect()
+    assert {(r.c.out, tuple(r.c.ops)) for r in only} == {("Иванов П С", ("abbreviate",))}
