@@ -10,10 +10,13 @@ from tessera.functions.corrupt import corrupted
 from tessera.functions.similarity import token_sort_score
 from tessera.functions.text import n_tokens, on_distinct, prep, tokens
 from tessera.sources.io import sample_exact
+from tessera.sources.scratch import stored
 
 POSITIVE, NAMESAKE, RANDOM = "синтетический дубль", "однофамильцы", "случайные"
 #: Cumulative shares of pairs with 1, 2 and 3 corruptions (5 : 3 : 2).
 _OPS = (0.5, 0.8)
+#: Samples are drawn by other hashes than the split, or a sample would be of one split.
+_SAMPLE = 1_000
 PAIR_COLUMNS = ("left", "right", "label", "n_ops", "kind")
 
 
@@ -24,11 +27,13 @@ def _unit(seed: int, *keys: str) -> Column:
 
 def positive_pairs(names: DataFrame, n: int = 60_000, seed: int = 42, name: str = "name") -> DataFrame:
     """Names and their corruptions that differ from them, both as comparison keys."""
-    some = sample_exact(names.select(F.col(name).alias("name")), n, seed, ["name"])
+    some = sample_exact(names.select(F.col(name).alias("name")), n, seed + _SAMPLE, ["name"])
     u = _unit(seed + 1, "name")
     some = some.withColumn("n_ops", F.when(u < _OPS[0], 1).when(u < _OPS[1], 2).otherwise(3))
-    some = some.withColumn("_c", corrupted(F.col("name"), F.col("n_ops"), F.xxhash64(F.lit(seed), "name"))).where("_c.out <> name")
-    pairs = some.select(prep("name").alias("left"), prep("_c.out").alias("right"), "n_ops")
+    # stored, since a Python function does not take a higher-order expression for its argument
+    made = corrupted(F.col("name"), F.col("n_ops"), F.xxhash64(F.lit(seed), "name"))
+    some = stored(some.select("name", "n_ops", made.getField("out").alias("other"))).where("other <> name")
+    pairs = some.select(prep("name").alias("left"), prep("other").alias("right"), "n_ops")
     return pairs.select("left", "right", F.lit(1).alias("label"), "n_ops", F.lit(POSITIVE).alias("kind"))
 
 
@@ -61,7 +66,7 @@ def hard_negatives(lat_names: DataFrame, n: int = 30_000, group_cap: int = 8, mi
 def easy_negatives(lat_names: DataFrame, n: int = 15_000, seed: int = 42) -> DataFrame:
     """n random pairs of names; a pair may be of one name."""
     spark = lat_names.sparkSession
-    some = sample_exact(lat_names.select("lat").distinct(), max(n, 1), seed, ["lat"])
+    some = sample_exact(lat_names.select("lat").distinct(), max(n, 1), seed + _SAMPLE + 1, ["lat"])
     numbered = some.withColumn("i", F.row_number().over(W.orderBy(F.xxhash64(F.lit(seed), "lat"), "lat")) - 1)  # n rows
     total = numbered.agg(F.count("*").alias("total"))
     draws = spark.range(n).join(F.broadcast(total)).where("total > 0")

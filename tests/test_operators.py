@@ -101,6 +101,8 @@ def test_training_pairs(spark, pairs):
     assert kinds[training.NAMESAKE] <= 200 and kinds[training.RANDOM] == 150 and 400 < kinds[training.POSITIVE] <= 500
     assert pairs.where("label = 1 and n_ops not in (1, 2, 3) or label = 0 and n_ops <> 0").count() == 0
     assert training.leakage(pairs).first().n == 0
+    test = {r.kind: r["count"] for r in pairs.where("split = 'test'").groupBy("kind").count().collect()}
+    assert all(test[k] > 0.05 * kinds[k] for k in kinds)  # every kind is in the test split
     shares = {r.split: r["count"] for r in pairs.select("left", "split").distinct().groupBy("split").count().collect()}
     n = sum(shares.values())
     assert shares["train"] == int(n * 0.7) and abs(shares["valid"] - 0.15 * n) <= 1
