@@ -345,6 +345,8 @@ def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "t
     labels = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     out = slim.select("doc_id", "n_shingles", "print").join(labels, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
-    )
+    out = out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    # a few numbers per document; the sketches they come from are large
+    out = stored(out)
+    discard(slim, nodes, found)
+    return out
