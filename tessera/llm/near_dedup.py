@@ -32,6 +32,8 @@ MISS = 1e-7
 #: Nodes and bytes of texts that one task compares with each other at most, and nodes that it
 #: compares with their group's smallest.
 BLOCK, BLOCK_BYTES, STAR = 1_024, 32 << 20, 128
+#: Ids that are broadcast to fetch their texts at most (32 MB); more are joined by a shuffle of the texts.
+FETCH = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -305,6 +307,20 @@ def exact_links(groups: DataFrame, texts: DataFrame, spec: NearSpec) -> DataFram
     return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "src long, dst long")
 
 
+def texts_of(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
+    """(node, text) of the rows of docs that have one of the nodes as key, stored.
+
+    The nodes are stored and counted first: up to FETCH of them are broadcast, so that no text
+    of another document is shuffled.
+    """
+    nodes = stored(nodes.distinct())
+    few = nodes.count() <= FETCH
+    texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
+    out = stored(texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi"))
+    discard(nodes)
+    return out
+
+
 def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row per row of docs.
 
@@ -332,16 +348,16 @@ def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "t
     groups = stored(inverted_lists(nodes, spec))
     pairs = groups.where("leader <> node")
     pairs = stored(estimated(pairs, nodes, spec) if spec.miss else pairs)
-    listed = groups.select("node").union(pairs.select(F.col("leader").alias("node"))).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    texts = stored(texts.join(listed, "node", "left_semi"))
+    # texts are fetched only for nodes that the sketches leave
+    texts = texts_of(docs, pairs.select("node").union(pairs.select(F.col("leader").alias("node"))), text, key)
     links = stored(star_links(pairs, texts, spec))
     one = stored(connected_components(links))
     placed = groups.join(one, "node", "left").select("leader", "node", F.coalesce("component", "node").alias("component"))
     placed = stored(plausible(placed, nodes, spec) if spec.miss else placed)
-    more = stored(exact_links(placed, texts, spec))
+    rest = texts_of(docs, placed.select("node"), text, key)
+    more = stored(exact_links(placed, rest, spec))
     found = stored(connected_components(links.union(more)))
-    discard(groups, pairs, texts, links, one, placed, more)
+    discard(groups, pairs, texts, rest, links, one, placed, more)
     labels = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     out = slim.select("doc_id", "n_shingles", "print").join(labels, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
