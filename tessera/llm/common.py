@@ -157,9 +157,10 @@ def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def deal_blocks(rows: DataFrame, group: str, member: str, component: str, size: Column, most: int, most_bytes: int) -> DataFrame:
-    """rows with block, one and two: the blocks of the group whose members a task compares
-    (equal for the inside of a block).
+def deal_blocks(rows: DataFrame, group: str, member: str, component: str, size: Column, most: int, most_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with block, one and two: the blocks of the group whose members a task compares
+    (equal for the inside of a block); a stored table that the rows read, to be discarded
+    after them).
 
     Members of one component need no comparison, so a group of one component gives no rows.
     In others the component with the most members is home.  Home and the rest are dealt by
@@ -177,10 +178,12 @@ def deal_blocks(rows: DataFrame, group: str, member: str, component: str, size:
         group, F.col(f"__home.{component}").alias("__at_home"), blocks(*rest).alias("__rest"), blocks(F.col("__home.__c"), F.col("__home.__b")).alias("__own"),
         ((F.col("__c") <= most) & (F.col("__b") <= most_bytes)).alias("__single"),
     )
+    # stored, so that both sides of the join are plain exchanges, which AQE can split at a hot group
+    homes = stored(homes, small=True)
     rows = rows.join(homes, group).withColumn("__in", F.col(component) == F.col("__at_home"))
     place = F.when(F.col("__in"), F.col("__rest") + F.pmod(F.xxhash64(member), F.col("__own"))).otherwise(F.pmod(F.xxhash64(member), F.col("__rest")))
     rows = rows.withColumn("block", F.when(F.col("__single"), 0).otherwise(place).cast("int"))
     last = F.when(F.col("__single"), 0).when(F.col("__in"), F.col("__rest") - 1).otherwise(F.col("__rest") + F.col("__own") - 1)
     pairs = F.transform(F.sequence(F.lit(0), last), lambda x: F.struct(F.least("block", x).alias("one"), F.greatest("block", x).alias("two")))
     rows = rows.withColumn("__p", F.explode(pairs)).withColumns({"one": F.col("__p.one"), "two": F.col("__p.two")})
-    return rows.drop("__at_home", "__rest", "__own", "__single", "__in", "__p")
+    return rows.drop("__at_home", "__rest", "__own", "__single", "__in", "__p"), homes

@@ -198,9 +198,10 @@ def cross_links(groups: DataFrame, texts: DataFrame, found: DataFrame, tau: int,
     placed = members.join(found.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     placed = stored(placed.join(mixed, "key", "left_semi").join(texts.select("line", F.octet_length("text").alias("size")), "line"))
-    dealt = deal_blocks(placed, "key", "line", "component", F.col("size"), BLOCK_LINES, BLOCK_BYTES).join(texts, "line")
+    dealt, homes = deal_blocks(placed, "key", "line", "component", F.col("size"), BLOCK_LINES, BLOCK_BYTES)
+    dealt = dealt.join(texts, "line")
     out = stored(dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "block").mapInArrow(meet, PAIR_SCHEMA).distinct())
-    discard(placed)
+    discard(placed, homes)
     return out
 
 

@@ -268,8 +268,10 @@ def plausible(groups: DataFrame, nodes: DataFrame, spec: NearSpec) -> DataFrame:
             yield pa.record_batch([table.column(k).combine_chunks().filter(pa.array(keep)) for k in ("leader", "node", "component")], names=["leader", "node", "component"])
 
     rows = groups.join(nodes.select("node", "n", "sketch"), "node")
-    rows = deal_blocks(rows, "leader", "node", "component", F.octet_length("sketch"), BLOCK, BLOCK_BYTES)
-    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "leader long, node long, component long").distinct()
+    rows, homes = deal_blocks(rows, "leader", "node", "component", F.octet_length("sketch"), BLOCK, BLOCK_BYTES)
+    out = stored(rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "leader long, node long, component long").distinct())
+    discard(homes)
+    return out
 
 
 def exact_links(groups: DataFrame, texts: DataFrame, spec: NearSpec) -> DataFrame:
@@ -302,9 +304,11 @@ def exact_links(groups: DataFrame, texts: DataFrame, spec: NearSpec) -> DataFram
             yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
 
     sized = groups.join(texts.select("node", F.octet_length("text").alias("size")), "node")
-    rows = deal_blocks(sized, "leader", "node", "component", F.col("size"), BLOCK, BLOCK_BYTES).join(texts, "node")
-    rows = rows.select(*KEYS, "node", "component", "block", "text")
-    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "src long, dst long")
+    dealt, homes = deal_blocks(sized, "leader", "node", "component", F.col("size"), BLOCK, BLOCK_BYTES)
+    rows = dealt.join(texts, "node").select(*KEYS, "node", "component", "block", "text")
+    out = stored(rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(run, "src long, dst long"))
+    discard(homes)
+    return out
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
@@ -353,9 +357,9 @@ def near_duplicates(docs: DataFrame, spec: NearSpec = NearSpec(), text: str = "t
     links = stored(star_links(pairs, texts, spec))
     one = stored(connected_components(links))
     placed = groups.join(one, "node", "left").select("leader", "node", F.coalesce("component", "node").alias("component"))
-    placed = stored(plausible(placed, nodes, spec) if spec.miss else placed)
+    placed = plausible(placed, nodes, spec) if spec.miss else stored(placed)
     rest = texts_of(docs, placed.select("node"), text, key)
-    more = stored(exact_links(placed, rest, spec))
+    more = exact_links(placed, rest, spec)
     found = stored(connected_components(links.union(more)))
     discard(groups, pairs, texts, rest, links, one, placed, more)
     labels = nodes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))

@@ -101,6 +101,12 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert found_components(frame(spark, data), 3, 85) == wanted
 
 
+def test_near_duplicates_texts_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(nd, "FETCH", 0)
+    data = rows(17)
+    assert found_components(frame(spark, data), 3, 85) == near_components(data, 3, 85)
+
+
 def test_near_duplicates_exact(spark):
     """Nothing is estimated: whole sets make the lists."""
     data = rows(17)
