@@ -81,6 +81,11 @@ def test_deduplicate(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).columns == ["record_id", "country", "party_type", "cluster_id"]
 
 
+def test_report_of_nothing_resolved(spark):
+    rows = spark.createDataFrame([(-1, "a"), (-1, "b")], "cluster_id long, country string")
+    assert tuple(dedup.cluster_report(rows).first()) == (0, 0, None, None, None, None, None, None, 0)
+
+
 def test_sweep_choice(spark):
     sweep = spark.createDataFrame([(0.5, 10), (0.7, 6), (0.9, 2)], "threshold double, cross_country long")
     assert dedup.choose_threshold(sweep, 4) == 0.7 and dedup.choose_threshold(sweep, 8) == 0.5 and dedup.choose_threshold(sweep, 0) == 0.9
