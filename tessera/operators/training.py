@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,8 +87,9 @@ def training_pairs(names: DataFrame, n_pos: int = 60_000, n_hard: int = 30_000,
 def split_by_entity(pairs: DataFrame, train: float = 0.7, valid: float = 0.15, seed: int = 42, key: str = "left") -> DataFrame:
     """pairs with split train, valid or test; all pairs of one left name are in one split.
 
-    The distinct names are ranked by a hash that SQL engines share, so shares are exact.  The
-    ranks come from counts per hash prefix, not from one sorted partition.
+    The distinct names are ranked by a hash that SQL engines share, so shares are exact: they
+    are taken as decimals, since 90000 * 0.7 is less than 63000 as a double.  The ranks come
+    from counts per hash prefix, not from one sorted partition.
     """
     names = pairs.select(F.col(key).alias("_k")).distinct().withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), "_k")))
     names = names.withColumn("_p", F.substring("_h", 1, 3))
@@ -94,7 +97,9 @@ def split_by_entity(pairs: DataFrame, train: float = 0.7, valid: float = 0.15, s
     before = before.withColumn("_before", F.sum("c").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)))
     before = before.withColumn("_all", F.sum("c").over(W.partitionBy())).select("_p", F.coalesce("_before", F.lit(0)).alias("_before"), "_all")
     ranked = names.join(F.broadcast(before), "_p").withColumn("_r", F.col("_before") + F.row_number().over(W.partitionBy("_p").orderBy("_h", "_k")))
-    split = F.when(F.col("_r") <= F.floor(F.col("_all") * F.lit(train)), "train").when(F.col("_r") <= F.floor(F.col("_all") * F.lit(train + valid)), "valid").otherwise("test")
+    upto = lambda share: F.col("_r") <= F.floor(F.col("_all") * F.lit(share))
+    train, valid = Decimal(str(train)), Decimal(str(valid))
+    split = F.when(upto(train), "train").when(upto(train + valid), "valid").otherwise("test")
     return pairs.drop("split").join(ranked.select("_k", split.alias("split")), F.col(key) == F.col("_k")).drop("_k")
 
 

@@ -115,6 +115,12 @@ def test_training_pairs(spark, pairs):
     assert groups.groupBy("surname").count().agg(F.max("count")).first()[0] <= 8
 
 
+def test_split_shares_are_exact(spark):
+    # 90 * 0.7 is 62.99... as a double
+    split = training.split_by_entity(spark.range(90).select(F.col("id").cast("string").alias("left")))
+    assert {r.split: r["count"] for r in split.groupBy("split").count().collect()} == {"train": 63, "valid": 13, "test": 14}
+
+
 def test_model(spark, pairs, tmp_path):
     rows = featured(pairs).cache()
     matcher = train(rows, rounds=10)
