@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import discard, scratch_dir, stored
+from tessera.sources.scratch import discard, scratch_dir, stored, stored_by
 
-__all__ = ["scratch_dir", "stored", "discard", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles", "by_group", "deal_blocks"]
+__all__ = ["scratch_dir", "stored", "stored_by", "discard", "words", "word_count", "text_chunks", "mix64", "powers", "word_hashes", "shingles", "by_group", "deal_blocks"]
 
 #: A word is a run of anything but ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, mix64, powers, stored, text_chunks
+from tessera.llm.common import discard, mix64, powers, stored, stored_by, text_chunks
 
 #: Bytes of an anchor's hash.  A string of 100 bytes holds 61 of them.
 K = 40
@@ -392,22 +392,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
     last = F.lit((1 << 63) - 1)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = base.withColumn("m", F.concat(F.md5("text"), F.sha1("text")))
+    ids = stored(base.select("doc", "m", (F.octet_length("text") >= length).alias("long")))
+    # further texts of one doc_id are told apart by number; as a rule there are none
+    shared = ids.groupBy("doc").agg(F.min(F.xxhash64("m")).alias("lo"), F.max(F.xxhash64("m")).alias("hi")).where("lo <> hi").select("doc")
+    others = ids.select("doc", "m").join(shared, "doc").distinct().withColumn("variant", F.row_number().over(W.partitionBy("doc").orderBy("m")).cast("long") - 1)
+    others = stored(others.where("variant > 0"), small=True, shed=True)
+    numbered = lambda rows: rows.join(others, ["doc", "m"], "left").withColumn("variant", F.coalesce("variant", F.lit(0)))
+    # the texts are shuffled here, and nowhere else
+    texts = stored_by(numbered(base).select("doc_id", "doc", "variant", "text"), "doc", "variant")
     # whole copies of an earlier text: every byte goes, and no other text needs them
-    slim = base.where(F.octet_length("text") >= length).select("doc", "m")
+    slim = numbered(ids.where("long"))
     firsts = slim.groupBy("m").agg(F.min("doc").alias("first"), F.count("*").alias("c")).where("c > 1")
     firsts = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    copies = slim.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).join(firsts, ["m", "salt"]).where("doc <> first").select("doc", "m").distinct()
-    # further texts of one doc_id are told apart by number
-    shared = base.groupBy("doc").agg(F.min(F.xxhash64("m")).alias("lo"), F.max(F.xxhash64("m")).alias("hi")).where("lo <> hi").select("doc")
-    others = base.select("doc", "m").join(shared, "doc").distinct().withColumn("variant", F.row_number().over(W.partitionBy("doc").orderBy("m")).cast("long") - 1)
-    known = copies.withColumn("copy", F.lit(True)).join(others.where("variant > 0"), ["doc", "m"], "full_outer")
-    known = stored(known.select("doc", "m", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("variant", F.lit(0)).alias("variant")))
-    tagged = base.join(known, ["doc", "m"], "left").select("doc_id", "doc", "text", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("variant", F.lit(0)).alias("variant"))
-    tagged = stored(tagged)
-    texts = tagged.where(~F.col("copy")).select("doc", "text", "variant")
+    copies = slim.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).join(firsts, ["m", "salt"]).where("doc <> first")
+    copies = stored(copies.select("doc", "variant").distinct(), shed=True)
+    discard(ids, others)
     by_context = W.partitionBy("h", "c").orderBy("doc", "begin")
     by_anchor = W.partitionBy("h")
-    found = runs(texts, length).withColumns({"_n": F.row_number().over(by_context), "_more": F.lead("doc").over(by_context).isNotNull()})
+    found = runs(texts.join(copies, ["doc", "variant"], "left_anti"), length).withColumns({"_n": F.row_number().over(by_context), "_more": F.lead("doc").over(by_context).isNotNull()})
     found = found.withColumns({"_lo": F.min("c").over(by_anchor), "_hi": F.max("c").over(by_anchor), "_c": F.count("*").over(by_anchor)})
     # of each class of runs the first is compared with other contexts of its anchor, and all with each other
     kinds = F.array_compact(
@@ -417,24 +419,25 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
         )
     )
     found = found.select("h", "c", "doc", "begin", "strings", "lead", "known", kinds.alias("kinds")).where("known or size(kinds) > 0")
-    found = stored(found)
+    found = stored(found, shed=True)
     whole = found.where("known").select("doc", F.col("begin").alias("start"), (F.col("begin") + F.col("strings") + length - 1).alias("end"))
     wanted = found.where("not known").withColumn("kind", F.explode("kinds")).drop("known", "kinds")
-    cut_out = stored(contexts(texts, wanted, length))
+    cut_out = stored(contexts(texts, wanted, length), shed=True)
     parts = sorted_repeats(cut_out.where(F.col("kind") == SORT), length)
     single = later_of(cut_out.where(F.col("kind") == SINGLE), ["bytes"], length)
     equal = later_of(cut_out.where(F.col("kind") == VERIFY), ["h", "c", "bytes"], length)
-    parts = stored(parts.union(single).union(equal))
+    parts = stored(parts.union(single).union(equal), shed=True)
     discard(cut_out)
     variant = F.expr(f"start div {VARIANT}L")
     places = [(F.col(k) - variant * VARIANT).alias(k) for k in ("start", "end")]
-    spans = whole.union(parts).groupBy("doc", variant.alias("variant")).agg(F.collect_list(F.struct(*places)).alias("spans"))  # of one document
+    all_of_it = copies.select("doc", (F.col("variant") * VARIANT).alias("start"), (F.col("variant") * VARIANT + VARIANT - 1).alias("end"))
+    spans = whole.union(parts).union(all_of_it).groupBy("doc", variant.alias("variant")).agg(F.collect_list(F.struct(*places)).alias("spans"))  # of one document
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, body, gone, copy in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                cut = [(0, len(body))] if copy else merge_spans([(x["start"], x["end"]) for x in gone or []])
+            for doc_id, body, gone in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                cut = merge_spans([(x["start"], min(x["end"], len(body))) for x in gone or []])
                 left, at = [], 0
                 for start, end in cut:
                     left.append(body[at:start])
@@ -445,5 +448,5 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", key:
             types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types], names=names)
 
-    marked = tagged.join(spans, ["doc", "variant"], "left")
-    return marked.select("doc_id", "text", "spans", "copy").mapInArrow(finish, REST_SCHEMA)
+    marked = texts.join(spans, ["doc", "variant"], "left")
+    return marked.select("doc_id", "text", "spans").mapInArrow(finish, REST_SCHEMA)

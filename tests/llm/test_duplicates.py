@@ -19,6 +19,17 @@ def test_substrings(spark):
     assert found_repeats(frame(spark, data).limit(0), 100) == []
 
 
+def test_substrings_shuffle_texts_once(spark):
+    """What is found is joined to the texts where they lie."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sd.remove_repeats(frame(spark, rows(11)), 100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(x for x in plan.split("\n") if "FileScan" in x and "text#" in x)
+    assert "Bucketed: true" in scan and plan.count("Exchange") == 1
+
+
 def test_substrings_of_periodic_and_null_rows(spark):
     data = [(0, "ab" * 300, "", "", 0), (1, "ba" * 250 + "x", "", "", 0), (2, "a" * 400, "", "", 0), (3, "b" + "a" * 120, "", "", 0), (3, "a" * 99, "", "", 0)]
     assert found_repeats(frame(spark, data), 100) == removed_repeats(data, 100)
